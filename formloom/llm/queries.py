@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formloom.llm import decontaminate, exact_dedup, license_scan, packing, secrets, toxicity, warc
+from formloom.llm import decontaminate, exact_dedup, license_scan, near_dedup, packing, secrets, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(read(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -51,7 +55,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op3_warc, op4_license_scan, op6_decontaminate, op7_packing, op9_secrets, op10_toxicity)
+    for f in (op1_exact_dedup, op2_near_dedup, op3_warc, op4_license_scan, op6_decontaminate, op7_packing, op9_secrets, op10_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {
