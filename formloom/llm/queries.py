@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formloom.llm import decontaminate, exact_dedup, license_scan, near_dedup, packing, secrets, toxicity, warc
+from formloom.llm import decontaminate, exact_dedup, license_scan, near_dedup, packing, secrets, suffix_dedup, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +36,10 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(read(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -55,7 +59,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_near_dedup, op3_warc, op4_license_scan, op6_decontaminate, op7_packing, op9_secrets, op10_toxicity)
+    for f in (op1_exact_dedup, op2_near_dedup, op3_warc, op4_license_scan, op5_suffix_dedup, op6_decontaminate, op7_packing, op9_secrets, op10_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {
