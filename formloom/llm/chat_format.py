@@ -19,8 +19,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.shared import written
-
 ROLES = ("system", "user", "assistant", "tool", "other")
 # Names that speakers go by.
 MARKERS = {
@@ -67,7 +65,8 @@ class RoleModel:
         cells = seen.reshape(len(ROLES), N_MARKERS, N_LENGTHS, N_LINES)
         marker, shape = cells.sum(axis=(2, 3)) + 0.5, cells.sum(axis=1) + 0.05
         for k in range(len(MARKERS)):
-            marker[k, k + 1] += 50
+            marker[k, k + 1] += 50 + 0.2 * marker[k].sum()
+        marker[len(MARKERS), 0] += 50
         marker, shape = marker / marker.sum(axis=1, keepdims=True), shape / shape.sum(axis=(1, 2), keepdims=True)
         self.seen = (np.log(marker)[:, :, None, None] + np.log(shape)[:, None]).reshape(len(ROLES), N_SYMBOLS)
 
@@ -79,6 +78,13 @@ class RoleModel:
             best = (best[:, :, None] + self.after[None]).max(axis=1) + self.seen[:, s]
         return best
 
+    def begin(self, symbols: list[int]) -> np.ndarray:
+        """[j]: the best path of a conversation that begins with the turns, to state j at the last of them."""
+        score = self.first + self.seen[:, symbols[0]]
+        for s in symbols[1:]:
+            score = (score[:, None] + self.after).max(axis=0) + self.seen[:, s]
+        return score
+
     def decode(self, symbols: list[int], before: int | None = None, last: int | None = None) -> list[int]:
         """The likeliest roles; before: the state of the turn before (None: the conversation begins), last: that of the last turn."""
         score = (self.first if before is None else self.after[before]) + self.seen[:, symbols[0]]
@@ -143,31 +149,50 @@ def format_chats(conversations: DataFrame, model: RoleModel | None = None, conv_
     turns = turns.withColumn("symbol", symbol(F.col("text"))).withColumn("role_index", role_index(F.col("role"))).withColumn("part", F.floor(F.col("turn") / RANGE).cast("long"))
     model = train(turns) if model is None else model
     one = turns.groupBy("conv_id").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(F.col("part").isNull()).alias("none"), F.max(F.col("part").isNotNull()).alias("some"))
-    long = one.where("low < high or (none and some)").select("conv_id")
-    parted = turns.join(long, F.col("conv_id").eqNullSafe(long["conv_id"]), "left_semi") if False else turns.join(long.withColumnRenamed("conv_id", "long_id"), F.col("conv_id").eqNullSafe(F.col("long_id")), "left_semi")
-    matrices = in_ranges(parted, ["conv_id", "part", "turn", "text", "symbol"], lambda rows: [{"conv_id": rows[0]["conv_id"], "part": rows[0]["part"], "m": model.matrix([r["symbol"] for r in rows]).reshape(-1).tolist()}], "conv_id long, part long, m array<double>")
+    long = one.where("low < high or (none and some)").select(F.col("conv_id").alias("long_id"))
+    cut_up = turns.join(long, F.col("conv_id").eqNullSafe(F.col("long_id")), "left_semi")
+
+    def step(rows: list[dict]) -> list[dict]:
+        symbols = [r["symbol"] for r in rows]
+        m = [*model.matrix(symbols).reshape(-1).tolist(), *model.begin(symbols).tolist()]
+        return [{"conv_id": rows[0]["conv_id"], "part": 0, "place": rows[0]["part"], "m": m}]
 
     def chain(rows: list[dict]) -> list[dict]:
-        rows = sorted(rows, key=lambda r: (r["order"] is not None, r["order"] or 0))
+        rows = sorted(rows, key=lambda r: (r["place"] is not None, r["place"] or 0))
         size = len(ROLES)
-        # the conversation begins in a state before the first turn: its rates stand for the first step
-        score, back = None, []
-        for r in rows:
-            m = np.array(r["m"]).reshape(size, size)
-            if score is None:
-                score = m[0]
-                continue
-            ways = score[:, None] + m
+        score, back = np.array(rows[0]["m"][size * size :]), []
+        for r in rows[1:]:
+            ways = score[:, None] + np.array(r["m"][: size * size]).reshape(size, size)
             back.append(ways.argmax(axis=0))
             score = ways.max(axis=0)
         path = [int(score.argmax())]
         for b in reversed(back):
             path.append(int(b[path[-1]]))
         path = path[::-1]
-        return [{"conv_id": r["conv_id"], "part": r["order"], "before": path[k - 1] if k else None, "last": path[k]} for k, r in enumerate(rows)]
+        return [{"long_id": r["conv_id"], "place": r["place"], "before": path[k - 1] if k else None, "last": path[k]} for k, r in enumerate(rows)]
+
+    def find(rows: list[dict]) -> list[dict]:
+        found = model.decode([r["symbol"] for r in rows], rows[0]["before"], rows[0]["last"])
+        return [{"conv_id": r["conv_id"], "turn": r["turn"], "role": r["role"], "text": r["text"], "found": k} for r, k in zip(rows, found, strict=True)]
 
-    return turns, model, matrices, chain
+    steps = in_ranges(cut_up, ["conv_id", "part", "turn", "text", "symbol"], step, "conv_id long, part long, place long, m array<double>")
+    ends = in_ranges(steps, ["conv_id", "part", "place", "m"], chain, "long_id long, place long, before int, last int")
+    same = F.col("conv_id").eqNullSafe(F.col("long_id")) & F.col("part").eqNullSafe(F.col("place"))
+    placed = turns.join(ends, same, "left")
+    found = in_ranges(placed, ["conv_id", "part", "turn", "text", "symbol", "role", "before", "last"], find, "conv_id long, turn long, role string, text string, found int")
+    name = F.get(F.array(*map(F.lit, ROLES)), F.col("found"))
+    return found.select("conv_id", "turn", "role", name.alias("found_role"), rendered(name, F.col("text")).alias("rendered"))
 
 
 def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), F.regexp_replace(F.regexp_replace(text, HEAD, ""), r"^\s+|\s+$", ""), F.lit("\n<|end|>"))
+
+
+def split_transcripts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Raw transcripts as turns (conv_id, turn, text): a turn begins at a line with a speaker marker or after a blank line.
+
+    format_chats, with a model that train() made, then finds the roles. A null or blank text has no turns.
+    """
+    marked = F.regexp_replace(F.col(text_column), "(?m)" + HEAD.replace(r"^\s*", r"^[ \t]*"), "\u0001$0")
+    parts = F.filter(F.transform(F.split(marked, "\u0001|\\n[ \\t]*\\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return docs.select(F.col(id_column).cast("long").alias("conv_id"), F.posexplode(parts).alias("turn", "text"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from formloom.llm import decontaminate, exact_dedup, license_scan, near_dedup, packing, secrets, suffix_dedup, toxicity, warc
+from formloom.llm import chat_format, decontaminate, exact_dedup, license_scan, near_dedup, packing, secrets, suffix_dedup, toxicity, warc
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -48,6 +48,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format.format_chats(read(spark, sf_dir, "conversations"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_scan(read(spark, sf_dir, "documents"))
 
@@ -59,7 +63,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_exact_dedup, op2_near_dedup, op3_warc, op4_license_scan, op5_suffix_dedup, op6_decontaminate, op7_packing, op9_secrets, op10_toxicity)
+    for f in (op1_exact_dedup, op2_near_dedup, op3_warc, op4_license_scan, op5_suffix_dedup, op6_decontaminate, op7_packing, op8_chat_format, op9_secrets, op10_toxicity)
 }
 
 ORACLE_SQL: dict[str, str] = {
