@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from formloom.plans import forms_queries, layout_queries, survey_queries
+
+QUERIES = {**forms_queries.QUERIES, **survey_queries.QUERIES, **layout_queries.QUERIES}
+ORACLE_SQL = {**forms_queries.ORACLE_SQL, **survey_queries.ORACLE_SQL, **layout_queries.ORACLE_SQL}
