@@ -194,5 +194,5 @@ def split_transcripts(docs: DataFrame, id_column: str = "doc_id", text_column: s
     format_chats, with a model that train() made, then finds the roles. A null or blank text has no turns.
     """
     marked = F.regexp_replace(F.col(text_column), "(?m)" + HEAD.replace(r"^\s*", r"^[ \t]*"), "\u0001$0")
-    parts = F.filter(F.transform(F.split(marked, "\u0001|\\n[ \\t]*\\n"), lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.filter(F.split(marked, "\u0001|\\n[ \\t]*\\n"), lambda x: x.rlike(r"\S"))
     return docs.select(F.col(id_column).cast("long").alias("conv_id"), F.posexplode(parts).alias("turn", "text"))
