@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -73,7 +72,3 @@ def matched_latest(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
     for k in keys:
         good = good & F.col(k).isNotNull() & (F.col(k).cast("string") != "")
     return last_wins(rows.where(good), keys, order)
-
-
-def rank_in(rows: DataFrame, keys: list[str], order: list[str]) -> Column:
-    return F.row_number().over(W.partitionBy(*keys).orderBy(*order))

@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formloom.functions.text import field_number, parse_int
-from formloom.operators.validate import FIELDS
 
 # Vision names of canonical fields, and the vision name of each numbered field (the eighth has none).
 ALIASES = {"showed_up": "voters_appeared", "ballots_received": "ballots_allocated"}
@@ -66,7 +65,3 @@ def discrepancy_counts(differences: DataFrame) -> DataFrame:
 def samples(rows: DataFrame, group: str, order: list[str], k: int = 5) -> DataFrame:
     """ST5: the first k rows of each group."""
     return rows.withColumn("rank", F.row_number().over(W.partitionBy(group).orderBy(*order))).where(F.col("rank") <= k)
-
-
-def canonical_names() -> tuple[str, ...]:
-    return FIELDS

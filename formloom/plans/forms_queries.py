@@ -254,9 +254,6 @@ def json_payload(spark: Session, sf: str) -> Frame:
     return fenced.select("event_id", T.unfenced_json(F.col("raw"), "k bigint")["k"].alias("k"))
 
 
-THAI = "translate(q, '0123456789', '๐๑๒๓๔๕๖๗๘๙')"
-
-
 @query("SELECT l_orderkey AS k, l_linenumber AS n, count(*) AS c, CAST(l_partkey * 1000 + l_quantity AS BIGINT) AS parsed, (l_partkey) || '.' || CAST(l_quantity AS BIGINT) AS digits FROM lineitem GROUP BY ALL")
 def parse_int(spark: Session, sf: str) -> Frame:
     """PR1-PR3: a part number and a quantity of three digits in Thai digits, with a comma between; and with a dot."""
@@ -277,9 +274,6 @@ def human_bytes(spark: Session, sf: str) -> Frame:
     return table(spark, sf, "documents").select("doc_id", T.human_bytes(b).alias("human"), T.size_bucket(b).alias("bucket"))
 
 
-NAME = "regexp_extract(url, '([^/]*)$', 1)"
-
-
 @query(f"SELECT page_id, CASE WHEN regexp_matches(f, '^[0-9]+$') THEN 'numeric' WHEN regexp_matches(f, '^[0-9]+-[0-9]+$') THEN 'numeric-range' WHEN regexp_matches(f, '^[\\x00-\\x7F]+$') THEN 'ascii' ELSE 'thai-or-mixed' END AS pattern FROM (SELECT page_id, CASE page_id % 4 WHEN 0 THEN page_id::VARCHAR WHEN 1 THEN page_id || '-' || (page_id + 1) WHEN 2 THEN 'file ' || page_id ELSE 'หน่วย' || page_id END AS f FROM pages)")
 def filename_class(spark: Session, sf: str) -> Frame:
     name = F.expr("CASE page_id % 4 WHEN 0 THEN cast(page_id AS string) WHEN 1 THEN concat(page_id, '-', page_id + 1) WHEN 2 THEN concat('file ', page_id) ELSE concat('หน่วย', page_id) END")
