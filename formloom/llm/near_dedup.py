@@ -9,9 +9,10 @@ similarity. Points beyond a time at which all components are filled are never ma
 hash a shingle and a fixed number of points, whatever its weights.
 
 Sixteen bands of four components give candidates; a pair of similarity 0.8 meets with a probability of 0.9998.
-Candidates are verified by the exact overlap of their multisets. Within a band's bucket, all are compared
-with one pivot; after linked documents are joined, only pairs of the bucket that are still apart are compared,
-so groups of copies are never expanded and no pair of a bucket is left out.
+Candidates are verified by the exact overlap of their multisets. Within a band's bucket, all are compared with a
+few pivots. After linked documents are joined, the pairs of the bucket that are still apart are compared too,
+by a prefix-filtered join where the bucket is large. So groups of copies are never expanded, and
+no link within a bucket is left out.
 """
 
 from __future__ import annotations
@@ -22,12 +23,16 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from formloom.llm.shared import cut, written
 
 WORDS, BANDS, ROWS, SIMILARITY = 5, 16, 4, 0.8
 K = BANDS * ROWS
+PIVOTS = 4  # of a bucket
+LARGE = 32  # members of a bucket beyond which its pairs are joined by prefixes
+SMALL_ROWS = 100_000  # of a table that may be broadcast
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 2**64)
@@ -174,8 +179,8 @@ def signed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_hash long, node string, bands array<long>")
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The pairs (a, b) of nodes whose multisets overlap by the similarity or more."""
+def compared(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes with the exact similarity of their multisets."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     both = pairs.join(right, "b").join(left, "a").select("a", "text_a", "b", "text_b")
@@ -193,33 +198,70 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY)
 
         for batch in batches:
             a, ta, b, tb = (c.to_pylist() for c in batch.columns)
-            same = [overlap(bag_of(*x), bag_of(*y)) >= similarity for x, y in zip(zip(a, ta, strict=True), zip(b, tb, strict=True), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], ["a", "b"]).filter(pa.array(same, pa.bool_()))
+            found = [overlap(bag_of(*x), bag_of(*y)) for x, y in zip(zip(a, ta, strict=True), zip(b, tb, strict=True), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.float64())], ["a", "b", "similarity"])
 
-    return both.mapInArrow(run, "a string, b string")
+    return both.mapInArrow(run, "a string, b string, similarity double")
+
+
+def weighted_shingles(texts: DataFrame) -> DataFrame:
+    """(node, shingle, weight) of the distinct shingles of (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 200):
+                part = batch.slice(low, 200)
+                v, o, w = bag(*shingles(part.column(1).to_pylist()))
+                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(o)), pa.array(v.view(np.int64)), pa.array(w.astype(np.int64))], ["node", "shingle", "weight"])
+
+    return texts.select("node", "text").mapInArrow(run, "node string, shingle long, weight long")
+
+
+def prefix_pairs(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of all pairs of nodes (node, label, seeks) of different labels, one of which seeks, that can be so similar.
+
+    A prefix-filtered join. Shingles are ordered from rare to frequent, alike in every document. Of two similar
+    documents the first shingle in common has little weight before it in either: all that comes before isn't
+    shared, so their overlap is at most what is left from there on.
+    """
+    rows = written(weighted_shingles(texts.join(nodes.select("node"), "node", "left_semi")).join(nodes, "node"), "shingles")
+    often = written(rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    ordered = rows.join(often, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
+    own = W.partitionBy("node")
+    before = F.sum("weight").over(own.orderBy("n", "shingle").rowsBetween(W.unboundedPreceding, -1))
+    ordered = ordered.withColumn("before", F.coalesce(before, F.lit(0))).withColumn("total", F.sum("weight").over(own))
+    prefix = ordered.where((F.col("n") > 1) & (F.col("before") <= (1 - similarity + 1e-9) * F.col("total")))
+    prefix = written(prefix.select("shingle", "node", "label", "seeks", "before", "total"), "prefixes")
+    x = prefix.where("seeks").select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "label", "before", "total")))
+    left = F.least(F.col("total") - F.col("before"), F.col("x_total") - F.col("x_before"))
+    needed = similarity / (1 + similarity) * (F.col("total") + F.col("x_total")) - 1e-6
+    both = x.join(prefix, (x["shingle"] == prefix["shingle"]) & (F.col("label") != F.col("x_label")) & (left >= needed))
+    return both.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node that is linked: label is the smallest node of its component.
 
     Alternates large-star and small-star steps until the edges don't change; each is an aggregate and a join,
-    so no node's neighbours are gathered.
+    so no node's neighbours are gathered. Tables of at most SMALL_ROWS edges, which are counted each round, join by
+    broadcast; others by shuffle.
     """
-    edges = cut(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct())
+    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        edges = cut(small.select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).where("u <> v").unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first()
-        if now == before:
+        if now == before or not now[0]:
             break
         before = now
-    labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label"))
-    return labels.unionByName(labels.select(F.col("label").alias("node"), "label")).distinct()
+        sized = F.broadcast if now[0] <= SMALL_ROWS else lambda df: df
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.where("v > u").join(sized(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = large.distinct() if now[0] <= SMALL_ROWS else cut(large.distinct())
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(sized(least), "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).where("u <> v")
+        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -234,30 +276,42 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     known = written(signed(rows), "signatures")
     nodes = known.where("node is not null and doc_id is not null").groupBy("node").agg(F.min(F.struct("doc_id", "text_hash", "bands")).alias("first"))
-    nodes = nodes.select("node", "first.doc_id", "first.text_hash", "first.bands")
+    nodes = written(nodes.select("node", "first.doc_id", "first.text_hash", "first.bands"), "nodes")
     spread = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = spread.groupBy("band", "key").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node"), "node")).alias("pivot")).where("n > 1")
-    members = cut(spread.join(buckets.select("band", "key", F.col("pivot.node").alias("pivot")), ["band", "key"]))
+    # small sides are written: a join whose two sides are plain exchanges is split where a key is hot
+    part = F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
+    buckets = spread.groupBy("band", "key", part.alias("part")).agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node"), "node")).alias("pivot"))
+    buckets = buckets.groupBy("band", "key").agg(F.sum("n").alias("size"), F.collect_list("pivot.node").alias("pivots")).where("size > 1")
+    buckets = written(buckets, "buckets")
+    members = written(spread.join(buckets, ["band", "key"]), "members")
     involved = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
     texts = written(rows.join(involved, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    first = members.where("node <> pivot").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-    links = cut(verified(first, texts, similarity))
+    pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
+    by_pivot = members.select("band", "key", "size", "node", F.explode("pivots").alias("other")).where("node <> other")
+    first = written(compared(written(by_pivot.select(*pair).distinct(), "pairs"), texts), "compared")
+    links = first.where(F.col("similarity") >= similarity).select("a", "b")
     labels = components(links)
-    placed = members.select("band", "key", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    placed = cut(placed)
+
+    # what is still apart: every pair of a bucket with one side outside the bucket's largest class
+    placed = members.select("band", "key", "size", "node").join(labels, "node", "left")
+    placed = written(placed.withColumn("label", F.coalesce("label", "node")), "placed")
     sizes = placed.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
     main = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
-    main = main.select("band", "key", F.col("main.label").alias("main"))
-    apart = placed.join(main, ["band", "key"])
-    minority = apart.where("label <> main").select("band", "key", F.col("node").alias("x"), F.col("label").alias("x_label"))
-    rest = minority.join(apart.select("band", "key", "node", "label"), ["band", "key"]).where("label <> x_label")
-    rest = rest.select(F.least("node", "x").alias("a"), F.greatest("node", "x").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
-    more = cut(verified(rest, texts, similarity))
+    main = written(main.select("band", "key", F.col("main.label").alias("main")), "main")
+    apart = placed.join(main, ["band", "key"]).select("band", "key", "size", "node", "label", "main")
+    apart = written(apart, "apart")
+    in_large = apart.where(F.col("size") > LARGE).groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("seeks"))
+    in_small = apart.where(F.col("size") <= LARGE)
+    minority = in_small.where("label <> main").select("band", "key", F.col("node").alias("other"), F.col("label").alias("other_label"))
+    rest = minority.join(in_small.drop("main"), ["band", "key"]).where(F.col("label") != F.col("other_label")).select(*pair)
+    rest = rest.unionByName(prefix_pairs(texts, written(in_large, "in_large"), similarity)).distinct()
+    rest = written(rest.join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    more = written(compared(rest, texts).where(F.col("similarity") >= similarity).select("a", "b"), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
     named = known.select("doc_id", "node").join(labels, "node", "left").select("doc_id", F.when(F.col("node").isNotNull() & F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("label"))
-    named = cut(named)
+    named = written(named, "named")
     classes = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     found = named.join(classes, "label", "left")
     return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
