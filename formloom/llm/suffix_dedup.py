@@ -185,7 +185,7 @@ def all_anchors(rows: DataFrame, window: int, gram: int, with_context: bool) ->
             low = 0
             while low < len(texts):
                 high, size, some = low, 0, []
-                while high < len(texts) and size < 2_000_000:
+                while high < len(texts) and size < 600_000:  # some hundred kB at a time: a few arrays of eight bytes a byte
                     some.append(texts[high].encode("utf-8", "surrogatepass"))
                     size += len(some[-1])
                     high += 1
@@ -219,7 +219,7 @@ def cut_contexts(chosen: DataFrame, rows: DataFrame, window: int, gram: int) ->
     return both.mapInArrow(run, "anchor long, row_key long, place int, lone boolean, bytes binary")
 
 
-def ordered_spans(contexts: DataFrame, window: int, gram: int, most: int = 100_000) -> DataFrame:
+def ordered_spans(contexts: DataFrame, window: int, gram: int, most: int = 50_000) -> DataFrame:
     """(row_key, low, high) of the repeated windows of the lone contexts, from the column-wise order of each owner's anchors.
 
     An owner holds whole anchors, in runs of at most `most` contexts or one anchor's; the matrix of an anchor
@@ -288,7 +288,8 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows = source.select(F.xxhash64("doc_id", "text").alias("row_key"), "text", "doc_id")
     keyed = rows.select("row_key", "text")
     side = window - gram
-    repeated = all_anchors(keyed, window, gram, False).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # cut, so that both sides of the join below are plain exchanges: an anchor that many texts share is then split
+    repeated = cut(all_anchors(keyed, window, gram, False).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     found = written(all_anchors(keyed, window, gram, True).join(repeated, "anchor"), "anchors")
     kinds = cut(found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "place")).alias("first")))
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
