@@ -305,8 +305,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     in_small = apart.where(F.col("size") <= LARGE)
     minority = in_small.where("label <> main").select("band", "key", F.col("node").alias("other"), F.col("label").alias("other_label"))
     rest = minority.join(in_small.drop("main"), ["band", "key"]).where(F.col("label") != F.col("other_label")).select(*pair)
-    rest = rest.unionByName(prefix_pairs(texts, written(in_large, "in_large"), similarity)).distinct()
-    rest = written(rest.join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    in_large = written(in_large, "in_large")
+    if not in_large.isEmpty():
+        rest = rest.unionByName(prefix_pairs(texts, in_large, similarity))
+    rest = written(rest.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
     more = written(compared(rest, texts).where(F.col("similarity") >= similarity).select("a", "b"), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))

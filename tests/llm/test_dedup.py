@@ -83,7 +83,7 @@ def brute_classes(rows, least=0.8):
     return sorted(((i, min((c for c in classes[root(k)] if c is not None), default=None) if i is not None else None, len(classes[root(k)])) for k, (i, _) in enumerate(rows)), key=str)
 
 
-def test_near_duplicates(spark):
+def near_rows():
     rng = random.Random(4)
     words = [f"w{k}" for k in range(300)]
     rows = []
@@ -95,6 +95,18 @@ def test_near_duplicates(spark):
                 text[rng.randrange(len(text))] = rng.choice(words)
             rows.append((len(rows), " ".join(text)))
     rows += [(500, None), (501, ""), (502, "  !! "), (503, "a b"), (504, "A, b!"), (505, "spam " * 4000), (506, "spam " * 4100), (507, "spam " * 6000), (None, rows[0][1]), (None, "z")]
+    return rows
+
+
+def test_pairs_that_are_apart_are_joined_by_prefixes(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PIVOTS", 1)
+    monkeypatch.setattr(near_dedup, "LARGE", 1)
+    rows = near_rows()
+    assert sorted((tuple(r) for r in near_dedup.near_duplicates(docs_of(spark, rows)).collect()), key=str) == brute_classes(rows)
+
+
+def test_near_duplicates(spark):
+    rows = near_rows()
     got = sorted((tuple(r) for r in near_dedup.near_duplicates(docs_of(spark, rows)).collect()), key=str)
     assert got == brute_classes(rows)
     kept = {r.doc_id for r in near_dedup.keep_one(docs_of(spark, rows)).collect()}
