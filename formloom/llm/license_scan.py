@@ -6,8 +6,9 @@ with it, so that 16 bands of 2 rows miss it with a probability of (1 - 0.6**2)**
 (0.88 and more) is missed with one below 1e-10.
 
 A window's minimum can equal the template's under one of the functions only if the window holds the very
-shingle that has the template's minimum. So windows are laid only where such key shingles stand; which
-other windows there are makes no difference to the result. DataFrame functions only.
+shingle that has the template's minimum. So every window of the grid that holds such a key shingle is laid,
+once, from the first one that it holds; no other window can agree with the template in a band. DataFrame
+functions only.
 """
 
 from __future__ import annotations
@@ -76,6 +77,12 @@ def band_hit(a: Column, b: Column) -> Column:
     return bound(F.zip_with(a, b, lambda x, y: F.coalesce(x == y, F.lit(False))), lambda e: F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.forall(F.slice(e, k * ROWS + 1, ROWS), lambda x: x)))
 
 
+def band_keys(window: Column, mins: Column) -> Column:
+    """Whether a window holds all key shingles of some band; without them it can't agree with the template in that band."""
+    has = lambda w, j: F.array_contains(w, F.get(mins, j))
+    return bound(F.array_intersect(window, mins), lambda w: F.exists(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.forall(F.sequence(k * ROWS, k * ROWS + ROWS - 1), lambda j: has(w, j))))
+
+
 def template_table(spark: SparkSession, templates: dict[str, str] | None = None) -> DataFrame:
     """license_id, hashes (distinct shingles in order), size, step, signature. Templates below five words are refused."""
     items = TEMPLATES if templates is None else templates
@@ -95,9 +102,9 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_co
     """
     spark = docs.sparkSession
     known = template_table(spark, templates)
-    key = F.explode(F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda j: F.get(F.filter("hashes", lambda h: F.xxhash64(h, j) == F.get("signature", j)), F.lit(0))))
-    keys = known.select("license_id", "size", "step", "hashes", "signature", key.alias("key")).distinct()
-    keys = keys.withColumn("place", F.array_position("hashes", F.col("key")).cast("int") - 1)
+    mins = F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda j: F.get(F.filter("hashes", lambda h: F.xxhash64(h, j) == F.get("signature", j)), F.lit(0)))
+    known = known.withColumn("mins", mins)
+    keys = known.select("*", F.explode(F.array_distinct("mins")).alias("key"))
     literal = [r[0] for r in keys.select("key").distinct().collect()]  # of the catalogue, not of the data
     small = len(literal) <= MAX_KEYS
     # exploding one array is a barrier: the shingles are hashed once, not again in the filter
@@ -112,9 +119,13 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_co
         at = F.transform("shingles", place)
     hits = rows.select("doc_id", "shingles", F.explode(at).alias("hit")).select("doc_id", "shingles", "hit.i", "hit.key")
     laid = hits.join(F.broadcast(keys) if small else keys, "key")
-    start = F.greatest(F.lit(0), F.expr("step * ((i - place + step div 2) div step)"))
-    laid = laid.withColumn("start", start).withColumn("window", F.slice("shingles", F.col("start") + 1, F.col("size")))
-    near = laid.where(band_hit(signature(F.col("window")), F.col("signature")))
+    # the windows that hold this key and none of the licence's keys before it
+    first = F.greatest(F.lit(0), F.col("i") - F.col("size") + 1)
+    before = F.slice("shingles", first + 1, F.col("i") - first)
+    last = F.coalesce(F.array_max(F.transform(before, lambda h, k: F.when(F.array_contains("mins", h), k))), F.lit(-1))
+    start = F.explode(F.expr("filter(transform(sequence(0, (i - first) div step + 1), k -> step * ((first + step - 1) div step + k)), s -> s <= i)"))
+    laid = laid.withColumn("first", first + last + 1).withColumn("start", start).withColumn("window", F.slice("shingles", F.col("start") + 1, F.col("size")))
+    near = laid.where(band_keys(F.col("window"), F.col("mins"))).where(band_hit(signature(F.col("window")), F.col("signature")))
     low = F.greatest(F.lit(0), F.col("start") - F.col("step"))
     wide = F.slice("shingles", low + 1, F.col("start") + F.col("size") + F.col("step") - low)
     share = F.size(F.array_intersect("hashes", wide)) / F.size("hashes")

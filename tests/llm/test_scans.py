@@ -57,6 +57,20 @@ def test_licenses(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_licenses_with_words_inserted_and_deleted(spark):
+    rng = random.Random(4)
+    noise = lambda n: " ".join(rng.choice(["lorem", "ipsum", "amet", "dolor", "sed"]) for _ in range(n))
+    templates = {f"t{k}": " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(44)) for k in range(3)}
+    rows = []
+    for text in [*templates.values(), license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["BSD-2-Clause"]] * 4:
+        ws, m = text.split(), rng.randint(15, 30)
+        rows.append((len(rows), noise(rng.randint(0, 60)) + " " + " ".join(ws[:m]) + " " + noise(10) + " " + " ".join(ws[m:]) + " " + noise(20)))
+        rows.append((len(rows), noise(rng.randint(0, 60)) + " " + " ".join(ws[:m] + ws[m + 3 :]) + " " + noise(20)))
+    templates |= {k: license_scan.TEMPLATES[k] for k in ("MIT", "BSD-2-Clause")}
+    got = {(r.doc_id, r.license_id, round(r.containment, 9)) for r in license_scan.license_scan(docs_of(spark, rows), templates).collect()}
+    assert got == brute_licenses(rows, templates) and len(got) > 30
+
+
 def distance(item, text):
     before = [0] * (len(text) + 1)
     for i, c in enumerate(item, 1):
