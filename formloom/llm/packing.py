@@ -8,6 +8,7 @@ with room, found in O(log n) in a tree whose nodes hold the greatest room below
 from __future__ import annotations
 
 import json
+import re
 import struct
 import sys
 import zlib
@@ -79,23 +80,29 @@ def byte_letters() -> dict[str, int]:
 
 @lru_cache(maxsize=2)
 def encoding(path: str):
-    """A fast encoder with the ids of a tokenizers file of kind byte-level BPE, whose ids rank its merges.
+    """(encoder, added tokens, their pattern) with the ids of a tokenizers file of kind byte-level BPE, whose ids rank its merges.
 
-    Special tokens are left out: their strings are ordinary text here.
+    Added tokens that take in neighbouring spaces or stand as single words only are refused.
     """
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
-    special = {t["content"] for t in model.get("added_tokens", [])}
+    added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
+    if any(t.get(k) for t in model.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
+        raise ValueError(f"added tokens of {path} are not plain strings")
     letters = byte_letters()
-    ranks = {bytes(letters[c] for c in token): rank for token, rank in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+    ranks = {bytes(letters[c] for c in token): rank for token, rank in model["model"]["vocab"].items() if token not in added}
+    pattern = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
+    return tiktoken.Encoding("file", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={}), added, pattern
 
 
 def packed_ids(text: str, path: str) -> bytes:
-    """The ids of a text as little-endian unsigned 32-bit integers."""
-    ids = array("I", encoding(path).encode_ordinary(text))
+    """The ids of a text as little-endian unsigned 32-bit integers; an added token's string is that token, as in `tokenizers`."""
+    encoder, added, pattern = encoding(path)
+    ids = array("I")
+    for k, part in enumerate(pattern.split(text) if pattern else [text]):
+        ids.extend([added[part]] if k % 2 else encoder.encode_ordinary(part))
     if sys.byteorder == "big":
         ids.byteswap()
     return ids.tobytes()

@@ -61,12 +61,34 @@ def tokenizer():
 OWN = tokenizer()
 
 
+def default_tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(PATH)
+
+
+DEFAULT = default_tokenizer()
+
+
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("ab1.'s \n\t é!|<>endoftx_ñ")), max_size=20) | st.text(max_size=12))
 def test_ids(text):
     assert packing.packed_ids(text, PATH) == array("I", OWN.encode(text, add_special_tokens=False).ids).tobytes()
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|endof", "text|>", " ", "  ", "\n", "a", " b", "'s", "é", "12"]), max_size=12).map("".join))
+def test_ids_with_added_tokens(text):
+    assert packing.packed_ids("a <|endoftext|> b", PATH) == array("I", [64, 220, 50256, 275]).tobytes()
+    assert packing.packed_ids(text, PATH) == array("I", DEFAULT.encode(text, add_special_tokens=False).ids).tobytes()
+
+
+def test_packing_with_added_tokens(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    (got,) = packing.pack_documents(docs, PATH).collect()
+    assert (got.doc_tokens, got.length, got.ids_crc32) == (5, 5, zlib.crc32(array("I", [64, 220, 50256, 275, 0]).tobytes()))
+
+
 def brute_first_fit(sizes, length):
     bins, out = [], {}
     for k in sorted(range(len(sizes)), key=lambda k: -sizes[k]):
