@@ -93,7 +93,8 @@ def looked_up(rows: DataFrame, dim: DataFrame, key: str, value: str, default) ->
 
 
 def owner_lookup(rows: DataFrame, owners: DataFrame) -> DataFrame:
-    """Owner by folder id, else by province, else not_scanned."""
+    """Owner by folder id, else by province, else not_scanned. Of several owners of a key the least counts, so that no row is repeated."""
+    owners = owners.groupBy("key").agg(F.min("owner").alias("owner"))
     keyed = rows.withColumn("lookup", F.coalesce(F.nullif("folder_id", F.lit("")), "province"))
     return keyed.join(owners.select(F.col("key").alias("lookup"), "owner"), "lookup", "left").withColumn("owner", F.coalesce("owner", F.lit("not_scanned"))).drop("lookup")
 

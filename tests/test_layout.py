@@ -100,6 +100,13 @@ def test_zncc(spark):
     assert abs(r.x - 1) < 1e-12 and r.y is None
 
 
+def test_owner_lookup_takes_one_owner_a_key(spark):
+    rows = spark.createDataFrame([("p1", "f1"), ("p2", "f1"), ("p3", ""), ("p4", "f9")], "province string, folder_id string")
+    owners = spark.createDataFrame([("f1", "b"), ("f1", "a"), ("f1", "b"), ("p3", "c")], "key string, owner string")
+    got = sorted((r.province, r.owner) for r in survey.owner_lookup(rows, owners).collect())
+    assert got == [("p1", "a"), ("p2", "a"), ("p3", "c"), ("p4", "not_scanned")]
+
+
 def test_survey(spark):
     rows = spark.createDataFrame([("a", 0, "n", "f1", 3, 100, 1, ""), ("b", 1, "n", "f1", 4, 200, 1, ""), ("c", 2, "", "", 0, 0, 1, ""), ("d", 3, "s", "f2", 0, 0, 1, ""), ("e", 4, "s", "f3", 0, 0, 1, "timeout")], "province string, ord int, region string, folder_id string, files int, bytes long, constituencies int, error string")
     tags = {(r.province, r.tag, r.detail) for r in survey.anomalies(rows).collect()}
