@@ -131,12 +131,12 @@ class BundleReader:
 
 
 def decided(pages: DataFrame, id_column: str = "page_id", payload_column: str = "html", min_bytes: int = 0) -> DataFrame:
-    """(row_id, refers_to) of the rows that revisit another: equal payload of min_bytes or more, and not the smallest id."""
+    """(row_id, sha, refers_to) of the rows that revisit another: equal payload of min_bytes or more, and not the smallest id."""
     payload = F.coalesce(F.col(payload_column), F.lit("")).cast("binary")
     keys = pages.select(F.col(id_column).cast("long").alias("row_id"), F.sha2(payload, 256).alias("sha"), F.octet_length(payload).alias("n"))
     keys = keys.where(F.col("n") >= min_bytes)
     groups = keys.groupBy("sha").agg(F.min("row_id").alias("first_id"), F.count("*").alias("size")).where("size > 1")
-    return keys.join(groups, "sha").where("not (row_id <=> first_id)").select("row_id", F.col("first_id").alias("refers_to")).distinct()
+    return keys.join(groups, "sha").where("not (row_id <=> first_id)").select("row_id", "sha", F.col("first_id").alias("refers_to")).distinct()
 
 
 def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", payload_column: str = "html", url_column: str | None = "url", min_bytes: int = 0, frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
@@ -149,7 +149,8 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", pa
     """
     url = F.col(url_column).cast("string") if url_column else F.lit(None).cast("string")
     rows = pages.select(F.col(id_column).cast("long").alias("row_id"), url.alias("url"), F.coalesce(F.col(payload_column), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.join(decided(pages, id_column, payload_column, min_bytes), "row_id", "left")
+    found = decided(pages, id_column, payload_column, min_bytes).withColumnsRenamed({"row_id": "found_id", "sha": "found_sha"})
+    rows = rows.join(found, F.col("row_id").eqNullSafe(F.col("found_id")) & (F.sha2("payload", 256) == F.col("found_sha")), "left")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = filesystem(folder)

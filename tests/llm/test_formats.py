@@ -50,6 +50,15 @@ def test_warc_repeated_ids_and_minimum(spark, tmp_path):
     assert got == [(1, "response"), (2, "revisit"), (3, "response"), (4, "response"), (4, "response")]
 
 
+def test_warc_decides_by_id_and_payload(spark, tmp_path):
+    rows = [(3, "X"), (5, "X"), (5, "Y"), (7, "Z"), (8, "V"), (9, "Z"), (9, "V"), (None, "X"), (None, "W"), (None, "T"), (None, "T")]
+    pages = spark.createDataFrame(rows, "page_id long, html string")
+    folder = f"file://{tmp_path}/arc"
+    got = [(r.page_id, r.refers_to, r.payload) for r in warc.read_archives(warc.write_archives(pages, folder, url_column=None), folder, True).collect()]
+    want = [(3, None, b"X"), (5, 3, b""), (5, None, b"Y"), (7, None, b"Z"), (8, None, b"V"), (9, 7, b""), (9, 8, b""), (None, 3, b""), (None, None, b"W"), (None, None, b"T"), (None, None, b"T")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+
 def tokenizer():
     from tokenizers import Tokenizer
 
