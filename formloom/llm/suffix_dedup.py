@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from formloom.llm.shared import cut, written
 
 WINDOW, GRAM = 200, 64
+MOST = 50_000  # contexts of one anchor or part; more are parted
 BLOCK = 1 << 17
 PAD = 0xFF  # stands in no UTF-8 text
 U = np.uint64
@@ -219,11 +220,61 @@ def cut_contexts(chosen: DataFrame, rows: DataFrame, window: int, gram: int) ->
     return both.mapInArrow(run, "anchor long, row_key long, place int, lone boolean, bytes binary")
 
 
-def ordered_spans(contexts: DataFrame, window: int, gram: int, most: int = 50_000) -> DataFrame:
-    """(row_key, low, high) of the repeated windows of the lone contexts, from the column-wise order of each owner's anchors.
+def halved(contexts: DataFrame, window: int, gram: int) -> DataFrame:
+    """Each context in the two halves of its range of windows, first to last, where it has a whole window.
 
-    An owner holds whole anchors, in runs of at most `most` contexts or one anchor's; the matrix of an anchor
-    beyond that lies in an external file.
+    part is a hash of the bytes that all windows of the half hold, so contexts that share one of its windows share
+    the part; whole is one of the bytes that any of them holds. low and high bound the half's windows in the text.
+    """
+    side, width = window - gram, gram + 2 * (window - gram)
+    names = ["anchor", "row_key", "place", "lone", "bytes", "first", "last", "part", "whole", "low", "high"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    number = lambda *parts: int.from_bytes(hashlib.blake2b(b"".join(parts), digest_size=8).digest(), "little", signed=True)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pad = bytes([PAD])
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                out = []
+                for anchor, key, place, lone, data, first, last in zip(*(c.to_pylist() for c in batch.slice(at, 1000).columns), strict=True):
+                    begin, end = width - len(data.lstrip(pad)), len(data.rstrip(pad)) - window
+                    middle = (first + last) // 2
+                    for a, b in {(first, middle), (min(middle + 1, last), last)}:
+                        if max(a, begin) <= min(b, end):
+                            head = b"%d %d %d " % (anchor, a, b)
+                            start = place - side
+                            out.append((anchor, key, place, lone, data, a, b, number(head, data[b : a + window]), number(head, data[a : b + window]), start + max(a, begin), start + min(b, end) + window))
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+
+    return contexts.select(*names[:7]).mapInArrow(run, "anchor long, row_key long, place int, lone boolean, bytes binary, first int, last int, part long, whole long, low int, high int")
+
+
+def parted(contexts: DataFrame, window: int, gram: int, most: int = MOST) -> tuple[DataFrame, DataFrame]:
+    """Contexts of hot anchors in parts of at most `most` (part, row_key, place, lone, bytes), and spans (row_key, low, high) found on the way.
+
+    The range of windows of a part is halved until it is small. Contexts of a part that are equal over all its
+    windows are repeats there; one of them goes on. A part of a single window holds one context, so this ends.
+    """
+    rest = contexts.select("*", F.lit(0).alias("first"), F.lit(window - gram).alias("last"))
+    small, spans = [], []
+    while True:
+        rest = written(halved(rest, window, gram), "parts")
+        node = ["anchor", "part", "whole"]
+        kinds = written(rest.groupBy(*node).agg(F.count("*").alias("n"), F.min(F.struct("row_key", "place", "lone", "first", "last", "bytes")).alias("one")), "kinds")
+        spans.append(rest.where("lone").join(kinds.where("n > 1").select(*node), node).select("row_key", "low", "high"))
+        rest = kinds.select("anchor", "part", "one.row_key", "one.place", (F.col("one.lone") & (F.col("n") == 1)).alias("lone"), "one.first", "one.last", "one.bytes")
+        hot = cut(rest.groupBy("anchor", "part").agg(F.count("*").alias("n")).where(F.col("n") > most).select("anchor", "part"))
+        small.append(rest.join(F.broadcast(hot), ["anchor", "part"], "left_anti").select("part", "row_key", "place", "lone", "bytes"))
+        if hot.isEmpty():
+            return reduce(DataFrame.unionByName, small), reduce(DataFrame.unionByName, spans)
+        rest = rest.join(F.broadcast(hot), ["anchor", "part"], "left_semi")
+
+
+def ordered_spans(contexts: DataFrame, window: int, gram: int, most: int = MOST) -> DataFrame:
+    """(row_key, low, high) of the repeated windows of the lone contexts, from the column-wise order of each owner's parts.
+
+    An owner holds whole parts, in runs of at most twice `most` contexts; no part is larger than `most`.
     """
     side, width = window - gram, gram + 2 * (window - gram)
 
@@ -240,42 +291,44 @@ def ordered_spans(contexts: DataFrame, window: int, gram: int, most: int = 50_00
         return pa.RecordBatch.from_arrays([pa.array(keys[lone][i]), pa.array(low.astype(np.int32)), pa.array(high.astype(np.int32))], ["row_key", "low", "high"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import tempfile
-
         held: list[pa.RecordBatch] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
             table = pa.Table.from_batches(held)
-            n = table.num_rows
-            with tempfile.TemporaryFile() as file:
-                data = np.empty((n, width), np.uint8) if n <= 2 * most else np.memmap(file, np.uint8, "w+", shape=(n, width))
-                at = 0
-                for chunk in table.column("bytes").chunks:
-                    flat = np.frombuffer(b"".join(chunk.to_pylist()), np.uint8).reshape(-1, width)
-                    data[at : at + len(flat)] = flat
-                    at += len(flat)
-                yield spans(table.column("row_key").to_numpy(), table.column("place").to_numpy().astype(np.int64), table.column("lone").to_numpy(), data)
+            data = np.empty((table.num_rows, width), np.uint8)
+            at = 0
+            for chunk in table.column("bytes").chunks:
+                flat = np.frombuffer(b"".join(chunk.to_pylist()), np.uint8).reshape(-1, width)
+                data[at : at + len(flat)] = flat
+                at += len(flat)
+            keys, places, lone = table.column("row_key").to_numpy(), table.column("place").to_numpy().astype(np.int64), table.column("lone").to_numpy()
+            order = np.lexsort((~lone, places, keys))  # a context of several parts counts once: it's no repeat of itself
+            new = np.append(True, (np.diff(keys[order]) != 0) | (np.diff(places[order]) != 0))
+            if not new.all():
+                kept = np.sort(order[new])
+                keys, places, lone, data = keys[kept], places[kept], lone[kept], data[kept]
+            yield spans(keys, places, lone, data)
             held.clear()
 
         size, last = 0, None
         for batch in batches:
-            anchors = batch.column(0).to_numpy()
-            begins = np.flatnonzero(np.append(True, anchors[1:] != anchors[:-1])) if len(anchors) else []
+            parts = batch.column(0).to_numpy()
+            begins = np.flatnonzero(np.append(True, parts[1:] != parts[:-1])) if len(parts) else []
             for k, low in enumerate(begins):
-                high = begins[k + 1] if k + 1 < len(begins) else len(anchors)
-                if size and anchors[low] != last and size + (high - low) > most:
+                high = begins[k + 1] if k + 1 < len(begins) else len(parts)
+                if size and parts[low] != last and size + (high - low) > most:
                     yield from flush()
                     size = 0
                 held.append(batch.slice(low, high - low))
-                size, last = size + int(high - low), anchors[low]
+                size, last = size + int(high - low), parts[low]
         if size:
             yield from flush()
 
-    owned = contexts.repartition("anchor").sortWithinPartitions("anchor")
+    owned = contexts.repartition("part").sortWithinPartitions("part")
     return owned.mapInArrow(run, "row_key long, low int, high int")
 
 
-def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW, gram: int = GRAM, with_text: bool = False, most: int = MOST) -> DataFrame:
     """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256, and (with_text) kept.
 
     Every byte that a repeated string of `window` bytes covers goes; strings are judged on the input, and none
@@ -289,14 +342,21 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     keyed = rows.select("row_key", "text")
     side = window - gram
     # cut, so that both sides of the join below are plain exchanges: an anchor that many texts share is then split
-    repeated = cut(all_anchors(keyed, window, gram, False).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
-    found = written(all_anchors(keyed, window, gram, True).join(repeated, "anchor"), "anchors")
+    repeated = cut(all_anchors(keyed, window, gram, False).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"))
+    found = written(all_anchors(keyed, window, gram, True).join(repeated.select("anchor"), "anchor"), "anchors")
     kinds = cut(found.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(F.struct("row_key", "place")).alias("first")))
     several = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1").select("anchor")
     chosen = kinds.join(several, "anchor").select("anchor", "first.row_key", "first.place", (F.col("n") == 1).alias("lone"))
     copies = found.join(kinds.where("n > 1").select("anchor", "context"), ["anchor", "context"])
     whole = copies.select("row_key", (F.col("place") - side).alias("low"), (F.col("place") + gram + side).alias("high"))
-    apart = ordered_spans(cut_contexts(chosen, keyed, window, gram), window, gram)
+    frequent = repeated.where(F.col("n") > most).select("anchor")
+    hot = cut(kinds.join(F.broadcast(frequent), "anchor").groupBy("anchor").agg(F.count("*").alias("kinds")).where(F.col("kinds") > most).select("anchor"))
+    if hot.isEmpty():
+        apart = ordered_spans(cut_contexts(chosen, keyed, window, gram).withColumnRenamed("anchor", "part"), window, gram, most)
+    else:
+        usual = cut_contexts(chosen.join(F.broadcast(hot), "anchor", "left_anti"), keyed, window, gram).withColumnRenamed("anchor", "part")
+        parts, known = parted(cut_contexts(chosen.join(F.broadcast(hot), "anchor", "left_semi"), keyed, window, gram), window, gram, most)
+        apart = ordered_spans(usual.unionByName(parts), window, gram, most).unionByName(known)
     spans = whole.unionByName(apart).groupBy("row_key").agg(F.collect_set(F.struct("low", "high")).alias("spans"))
     joined = rows.join(spans, "row_key", "left").select("doc_id", "text", "spans")
     names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]

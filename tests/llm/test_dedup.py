@@ -162,6 +162,22 @@ def test_repeats(spark):
     assert suffix_dedup.remove_repeats(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_hot_anchors_are_parted(spark):
+    rng = random.Random(12)
+    noise = lambda n: "".join(rng.choice("abcdef") for _ in range(n))
+    shared = noise(33)
+    ends = [noise(25) for _ in range(4)]
+    rows = [(k, noise(rng.randint(0, 30)) + shared + noise(rng.randint(0, 30))) for k in range(30)]
+    rows += [(30 + k, noise(20) + ends[k % 2] + shared + ends[2 + k % 2][: rng.randint(3, 25)] + noise(k % 3)) for k in range(40)]
+    rows += [(70 + k, noise(5) + shared + ends[k % 4] + noise(30)) for k in range(20)] + [(5, rows[5][1]), (90, ends[0] + shared)]
+    got = sorted((tuple(r) for r in suffix_dedup.remove_repeats(docs_of(spark, rows), window=40, gram=12, most=4).collect()), key=str)
+    assert got == brute_repeats(rows, 40)
+    texts = [t.encode() for _, t in rows]
+    contexts = [(1, k, t.index(shared.encode()) + 10, True, suffix_dedup.context(t, t.index(shared.encode()) + 10, 40, 12)) for k, t in enumerate(texts)]
+    parts, _ = suffix_dedup.parted(spark.createDataFrame(contexts, "anchor long, row_key long, place int, lone boolean, bytes binary"), 40, 12, 4)
+    assert parts.groupBy("part").count().agg(F.max("count")).first()[0] <= 4
+
+
 def test_long_texts_are_cut_with_an_overlap():
     rng = random.Random(9)
     text = bytes(rng.choice(b"abcdefgh") for _ in range(300_000))
