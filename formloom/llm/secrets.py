@@ -97,9 +97,9 @@ def threshold(false_positive_rate: float = 0.001) -> float:
 
 
 def is_random(token: str) -> bool:
-    """Above the threshold, and of more than one character class: plain words in one case are never secrets."""
-    mixed = any(c.isdigit() for c in token) and any(c.isalpha() for c in token)
-    return mixed and ratio(token) > threshold()
+    """Above the threshold. Runs without a letter and lower-case words without a digit are never secrets: a random key is one with a chance below 1e-4."""
+    keyed = any(c.isupper() for c in token) or (any(c.isdigit() for c in token) and any(c.isalpha() for c in token))
+    return keyed and ratio(token) > threshold()
 
 
 KEYWORDS = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCII)

@@ -128,6 +128,14 @@ def test_markov_models():
     assert np.mean(right) > 0.95
 
 
+def test_markov_models_find_keys_without_digits():
+    samples = secrets.labelled_samples(8000, 99)
+    missed = [t for t, y in samples if y and not secrets.is_random(t)]
+    assert len(missed) <= 8 and not any(secrets.is_random(t) for t, y in samples if not y)
+    assert secrets.is_random("dQwXzKvBnMqRtYpLsDfG") and secrets.is_random("KJXQZVWBNGFYTHRMLCPD")
+    assert not any(secrets.is_random(t) for t in ("-" * 20, "_" * 20, "x" * 20, "internationalization", "12345678901234567890"))
+
+
 def toxic_rows(n, seed):
     rng = random.Random(seed)
     good, bad = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(400)], ["vile", "gross", "nasty"]
