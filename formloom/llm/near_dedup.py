@@ -265,12 +265,18 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """One row per input row: doc_id, class_id, class_size.
+    """One row per input row: doc_id, class_id, class_size; see classified."""
+    return classified(docs, id_column, text_column, similarity).select("doc_id", "class_id", "class_size")
+
+
+def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+    """One row per input row: doc_id, text_hash, class_id, class_hash, class_size.
 
     class_id is the smallest id of the documents that a chain of links joins, a link being a weighted Jaccard
     similarity of 0.8 or more over five-word shingles. A null, empty or wordless text is in no class but its own, and
     so is a row with a null id (class_id null). Rows that repeat an id are taken each by its own text; other
-    columns are not read; an empty table gives no rows.
+    columns are not read; an empty table gives no rows. class_hash is the least text_hash under class_id in the class,
+    null for a row in no class.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
@@ -312,14 +318,26 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     more = written(compared(rest, texts).where(F.col("similarity") >= similarity).select("a", "b"), "links")
     if not more.isEmpty():
         labels = components(links.unionByName(more))
-    named = known.select("doc_id", "node").join(labels, "node", "left").select("doc_id", F.when(F.col("node").isNotNull() & F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("label"))
+    named = known.select("doc_id", "text_hash", "node").join(labels, "node", "left").select("doc_id", "text_hash", F.when(F.col("node").isNotNull() & F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("label"))
     named = written(named, "named")
-    classes = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
+    classes = named.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.count("*").alias("class_size"))
     found = named.join(classes, "label", "left")
-    return found.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
+    return found.select("doc_id", "text_hash", F.coalesce("first.doc_id", "doc_id").alias("class_id"), F.col("first.text_hash").alias("class_hash"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of documents, without those whose class has a smaller id; all columns. Rows of one id stay or go together."""
-    gone = near_duplicates(docs).where("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(gone.select(F.col("doc_id").alias("gone_doc_id")), F.col("doc_id") == F.col("gone_doc_id"), "left_anti")
+    """The rows of documents with one of each class, that of the least id and text hash; all columns.
+
+    Rows are told apart by id and text; of rows alike in both one stays. Rows in no class all stay.
+    """
+    key = ["gone_doc_id", "gone_hash"]
+    found = classified(docs).where("class_hash is not null").withColumnsRenamed({"doc_id": key[0], "text_hash": key[1]})
+    first = (F.col(key[0]) == F.col("class_id")) & (F.col(key[1]) == F.col("class_hash"))
+    gone = found.where(~first).select(*key).distinct()
+    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = (F.col("doc_id") == F.col(key[0])) & (F.col("_hash") == F.col(key[1]))
+    rows = rows.join(gone, same, "left_anti")
+    again = written(found.where(first).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "again")
+    if not again.isEmpty():
+        rows = rows.join(again, same, "left_anti").unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id", "_hash"]))
+    return rows.drop("_hash")

@@ -114,6 +114,16 @@ def test_near_duplicates(spark):
     assert near_dedup.near_duplicates(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_keep_one_tells_rows_of_one_id_apart(spark):
+    rng = random.Random(21)
+    text = lambda: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(60))
+    a, b, c, d = text(), text(), text(), text()
+    rows = [(1, a), (2, a + " tail"), (2, b), (3, c), (3, c + " tail"), (4, d), (4, d), (5, None), (5, None), (None, a)]
+    got = [(r.doc_id, r.text) for r in near_dedup.keep_one(docs_of(spark, rows)).collect()]
+    assert sum(i == 3 for i, _ in got) == 1
+    assert sorted((x for x in got if x[0] != 3), key=str) == sorted([(1, a), (2, b), (4, d), (5, None), (5, None), (None, a)], key=str)
+
+
 def test_signatures_are_unbiased():
     rng = np.random.default_rng(0)
     off = []
