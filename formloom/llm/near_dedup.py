@@ -10,9 +10,10 @@ hash a shingle and a fixed number of points, whatever its weights.
 
 Sixteen bands of four components give candidates; a pair of similarity 0.8 meets with a probability of 0.9998.
 Candidates are verified by the exact overlap of their multisets. Within a band's bucket, all are compared with a
-few pivots. After linked documents are joined, the pairs of the bucket that are still apart are compared too,
-by a prefix-filtered join where the bucket is large. So groups of copies are never expanded, and
-no link within a bucket is left out.
+few pivots. After linked documents are joined, the pairs of a bucket that are still apart and have no pivot are found
+by a prefix-filtered join, first against a sixteenth of the documents and then, for what is still apart, against
+all: most that are linked at all are linked to many, and need only one of them. So groups of copies are never
+expanded, and no link within a bucket is left out. Buckets of every size go the same way.
 """
 
 from __future__ import annotations
@@ -26,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from formloom.llm.shared import cut, written
+from formloom.llm.shared import Scratch, cut, written
 
 WORDS, BANDS, ROWS, SIMILARITY = 5, 16, 4, 0.8
 K = BANDS * ROWS
 PIVOTS = 4  # of a bucket
-LARGE = 32  # members of a bucket beyond which its pairs are joined by prefixes
+SHARES = (16, 1)  # of the documents that a round of the prefix join seeks among: one in 16, then all
+HOT_CLASSES = 1000  # classes of more than one in so many rows are at most so many, and broadcast
 SMALL_ROWS = 100_000  # of a table that may be broadcast
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -217,36 +219,48 @@ def weighted_shingles(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, "node string, shingle long, weight long")
 
 
-def prefix_pairs(texts: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of all pairs of nodes (node, label, seeks) of different labels, one of which seeks, that can be so similar.
+def prefixes(texts: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """(shingle, node, before, total) of the shingles that a similar document may have as its first in common.
 
-    A prefix-filtered join. Shingles are ordered from rare to frequent, alike in every document. Of two similar
-    documents the first shingle in common has little weight before it in either: all that comes before isn't
-    shared, so their overlap is at most what is left from there on.
+    Shingles are ordered from rare to frequent, alike in every document. Of two similar documents the first
+    shingle in common has little weight before it in either: all that comes before isn't shared. before is that
+    weight, total the document's. Shingles of one document are left out.
     """
-    rows = written(weighted_shingles(texts.join(nodes.select("node"), "node", "left_semi")).join(nodes, "node"), "shingles")
-    often = written(rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "often")
+    rows = scratch.written(weighted_shingles(texts), "shingles")
+    often = scratch.written(rows.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1"), "often")
     ordered = rows.join(often, "shingle", "left").withColumn("n", F.coalesce("n", F.lit(1)))
     own = W.partitionBy("node")
     before = F.sum("weight").over(own.orderBy("n", "shingle").rowsBetween(W.unboundedPreceding, -1))
     ordered = ordered.withColumn("before", F.coalesce(before, F.lit(0))).withColumn("total", F.sum("weight").over(own))
-    prefix = ordered.where((F.col("n") > 1) & (F.col("before") <= (1 - similarity + 1e-9) * F.col("total")))
-    prefix = written(prefix.select("shingle", "node", "label", "seeks", "before", "total"), "prefixes")
-    x = prefix.where("seeks").select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("node", "label", "before", "total")))
+    kept = ordered.where((F.col("n") > 1) & (F.col("before") <= (1 - similarity + 1e-9) * F.col("total")))
+    return scratch.written(kept.select("shingle", "node", "before", "total"), "prefixes")
+
+
+def prefix_pairs(prefix: DataFrame, nodes: DataFrame, similarity: float, share: int) -> DataFrame:
+    """(a, b) of the pairs of nodes (node, label, seeks) of different labels that can be so similar: one that seeks, and one in `share`.
+
+    What the two can have in common is at most what is left from the shared shingle on, in either.
+    """
+    rows = prefix.join(nodes, "node")
+    among = F.pmod(F.xxhash64("node", F.lit(share)), F.lit(share)) == 0
+    x = rows.where("seeks").select("shingle", among.alias("x_among"), *(F.col(c).alias(f"x_{c}") for c in ("node", "label", "before", "total")))
+    y = rows.where(among)
     left = F.least(F.col("total") - F.col("before"), F.col("x_total") - F.col("x_before"))
     needed = similarity / (1 + similarity) * (F.col("total") + F.col("x_total")) - 1e-6
-    both = x.join(prefix, (x["shingle"] == prefix["shingle"]) & (F.col("label") != F.col("x_label")) & (left >= needed))
+    once = ~F.col("seeks") | ~F.col("x_among") | (F.col("x_node") < F.col("node"))  # a pair that both sides seek is met once
+    both = x.join(y, (x["shingle"] == y["shingle"]) & (F.col("label") != F.col("x_label")) & (left >= needed) & once)
     return both.select(F.least("node", "x_node").alias("a"), F.greatest("node", "x_node").alias("b"))
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, label) of every node that is linked: label is the smallest node of its component.
 
     Alternates large-star and small-star steps until the edges don't change; each is an aggregate and a join,
     so no node's neighbours are gathered. Tables of at most SMALL_ROWS edges, which are counted each round, join by
     broadcast; others by shuffle.
     """
-    edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    scratch = scratch or Scratch(links.sparkSession)
+    edges = scratch.written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     before = None
     while True:
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_000_007)).first()
@@ -260,7 +274,7 @@ def components(links: DataFrame) -> DataFrame:
         large = large.distinct() if now[0] <= SMALL_ROWS else cut(large.distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(sized(least), "u").select(F.greatest("v", "m").alias("u"), F.least("v", "m").alias("v")).where("u <> v")
-        edges = written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        edges = scratch.written(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
@@ -269,6 +283,20 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     return classified(docs, id_column, text_column, similarity).select("doc_id", "class_id", "class_size")
 
 
+def still_apart(members: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, label, seeks) of the members of buckets with pairs that no pivot has settled: neither is a pivot, and their labels differ.
+
+    seeks: outside the most frequent label of some such bucket.
+    """
+    rest = members.where("not array_contains(pivots, node)").select("band", "key", "node").join(labels, "node", "left")
+    rest = scratch.written(rest.withColumn("label", F.coalesce("label", "node")), "placed")
+    sizes = rest.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    main = scratch.written(main.select("band", "key", F.col("main.label").alias("main")), "main")
+    apart = rest.join(main, ["band", "key"]).groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("seeks"))
+    return scratch.written(apart, "apart")
+
+
 def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row per input row: doc_id, text_hash, class_id, class_hash, class_size.
 
@@ -276,8 +304,11 @@ def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     similarity of 0.8 or more over five-word shingles. A null, empty or wordless text is in no class but its own, and
     so is a row with a null id (class_id null). Rows that repeat an id are taken each by its own text; other
     columns are not read; an empty table gives no rows. class_hash is the least text_hash under class_id in the class,
-    null for a row in no class.
+    null for a row in no class. A very long text is one document like any other: its signature takes a fixed number
+    of points, and a task holds some MB of text and the shingles of one text beyond that.
     """
+    scratch = Scratch(docs.sparkSession)
+    written = scratch.written
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     known = written(signed(rows), "signatures")
@@ -288,56 +319,51 @@ def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
     part = F.pmod(F.xxhash64("node"), F.lit(PIVOTS))
     buckets = spread.groupBy("band", "key", part.alias("part")).agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node"), "node")).alias("pivot"))
     buckets = buckets.groupBy("band", "key").agg(F.sum("n").alias("size"), F.collect_list("pivot.node").alias("pivots")).where("size > 1")
-    buckets = written(buckets, "buckets")
+    buckets = written(buckets.select("band", "key", "pivots"), "buckets")
     members = written(spread.join(buckets, ["band", "key"]), "members")
     involved = nodes.join(members.select("node").distinct(), "node", "left_semi").select("node", "doc_id", "text_hash")
     texts = written(rows.join(involved, ["doc_id", "text_hash"]).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
-    by_pivot = members.select("band", "key", "size", "node", F.explode("pivots").alias("other")).where("node <> other")
-    first = written(compared(written(by_pivot.select(*pair).distinct(), "pairs"), texts), "compared")
-    links = first.where(F.col("similarity") >= similarity).select("a", "b")
-    labels = components(links)
-
-    # what is still apart: every pair of a bucket with one side outside the bucket's largest class
-    placed = members.select("band", "key", "size", "node").join(labels, "node", "left")
-    placed = written(placed.withColumn("label", F.coalesce("label", "node")), "placed")
-    sizes = placed.groupBy("band", "key", "label").agg(F.count("*").alias("n"))
-    main = sizes.groupBy("band", "key").agg(F.max(F.struct("n", "label")).alias("main"), F.count("*").alias("labels")).where("labels > 1")
-    main = written(main.select("band", "key", F.col("main.label").alias("main")), "main")
-    apart = placed.join(main, ["band", "key"]).select("band", "key", "size", "node", "label", "main")
-    apart = written(apart, "apart")
-    in_large = apart.where(F.col("size") > LARGE).groupBy("node", "label").agg(F.max(F.col("label") != F.col("main")).alias("seeks"))
-    in_small = apart.where(F.col("size") <= LARGE)
-    minority = in_small.where("label <> main").select("band", "key", F.col("node").alias("other"), F.col("label").alias("other_label"))
-    rest = minority.join(in_small.drop("main"), ["band", "key"]).where(F.col("label") != F.col("other_label")).select(*pair)
-    in_large = written(in_large, "in_large")
-    if not in_large.isEmpty():
-        rest = rest.unionByName(prefix_pairs(texts, in_large, similarity))
-    rest = written(rest.distinct().join(first.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    more = written(compared(rest, texts).where(F.col("similarity") >= similarity).select("a", "b"), "links")
-    if not more.isEmpty():
-        labels = components(links.unionByName(more))
+    by_pivot = members.select("node", F.explode("pivots").alias("other")).where("node <> other")
+    by_pivot = by_pivot.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    done = written(compared(written(by_pivot, "pairs"), texts), "compared")
+    links = done.where(F.col("similarity") >= similarity).select("a", "b")
+    labels = components(links, scratch)
+
+    apart = still_apart(members, labels, scratch)
+    if not apart.isEmpty():
+        prefix = prefixes(texts.join(apart.select("node"), "node", "left_semi"), similarity, scratch)
+        for share in SHARES:
+            found = prefix_pairs(prefix, apart, similarity, share).distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
+            more = written(compared(written(found, "pairs"), texts), "compared")
+            done, links = done.unionByName(more), links.unionByName(more.where(F.col("similarity") >= similarity).select("a", "b"))
+            labels = components(links, scratch)
+            apart = still_apart(members, labels, scratch)
     named = known.select("doc_id", "text_hash", "node").join(labels, "node", "left").select("doc_id", "text_hash", F.when(F.col("node").isNotNull() & F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("label"))
-    named = written(named, "named")
+    named = written(named, "named", keep=True)
     classes = named.where("label is not null").groupBy("label").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"), F.count("*").alias("class_size"))
-    found = named.join(classes, "label", "left")
+    classes = written(classes, "classes", keep=True)
+    scratch.drop()
+    rows_in_all = named.count()
+    hot = F.broadcast(classes.where(F.col("class_size") * HOT_CLASSES > rows_in_all))
+    usual = named.join(hot.select("label"), "label", "left_anti").join(classes.where(F.col("class_size") * HOT_CLASSES <= rows_in_all), "label", "left")
+    found = usual.unionByName(named.join(hot, "label"))
     return found.select("doc_id", "text_hash", F.coalesce("first.doc_id", "doc_id").alias("class_id"), F.col("first.text_hash").alias("class_hash"), F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of documents with one of each class, that of the least id and text hash; all columns.
 
-    Rows are told apart by id and text; of rows alike in both one stays. Rows in no class all stay.
+    Rows are told apart by id and text; of rows alike in both one stays, whatever their other columns, and a null text
+    is an empty one. Rows in no class all stay. Column names may be any: a row goes through as one struct.
     """
-    key = ["gone_doc_id", "gone_hash"]
-    found = classified(docs).where("class_hash is not null").withColumnsRenamed({"doc_id": key[0], "text_hash": key[1]})
-    first = (F.col(key[0]) == F.col("class_id")) & (F.col(key[1]) == F.col("class_hash"))
-    gone = found.where(~first).select(*key).distinct()
-    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = (F.col("doc_id") == F.col(key[0])) & (F.col("_hash") == F.col(key[1]))
-    rows = rows.join(gone, same, "left_anti")
+    found = classified(docs).where("class_hash is not null")
+    first = F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("class_hash"))
+    gone = found.where(~first).select("doc_id", "text_hash").distinct()
+    key = ["doc_id", "text_hash"]
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
+    rows = rows.join(gone, key, "left_anti")
     again = written(found.where(first).groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key), "again")
     if not again.isEmpty():
-        rows = rows.join(again, same, "left_anti").unionByName(rows.join(again, same, "left_semi").dropDuplicates(["doc_id", "_hash"]))
-    return rows.drop("_hash")
+        rows = rows.join(again, key, "left_anti").unionByName(rows.join(again, key, "left_semi").dropDuplicates(key))
+    return rows.select("row.*")

@@ -42,5 +42,28 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The tables that one operator writes in the shared folder; drop() removes those that its result doesn't read."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+        """As written(); a table that is kept stays after drop()."""
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        if not keep:
+            self.paths.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Call it when no plan that is still to run reads the tables: tasks of lost executors are then never run again from them."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        for path in self.paths:
+            place = jvm.org.apache.hadoop.fs.Path(path).getParent()
+            place.getFileSystem(conf).delete(place, True)
+        self.paths = []
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))

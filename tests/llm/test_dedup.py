@@ -100,9 +100,10 @@ def near_rows():
 
 def test_pairs_that_are_apart_are_joined_by_prefixes(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "PIVOTS", 1)
-    monkeypatch.setattr(near_dedup, "LARGE", 1)
     rows = near_rows()
-    assert sorted((tuple(r) for r in near_dedup.near_duplicates(docs_of(spark, rows)).collect()), key=str) == brute_classes(rows)
+    for shares in ((3, 1), (1,)):
+        monkeypatch.setattr(near_dedup, "SHARES", shares)
+        assert sorted((tuple(r) for r in near_dedup.near_duplicates(docs_of(spark, rows)).collect()), key=str) == brute_classes(rows)
 
 
 def test_near_duplicates(spark):
