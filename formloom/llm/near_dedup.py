@@ -336,8 +336,9 @@ def classified(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         for share in SHARES:
             found = prefix_pairs(prefix, apart, similarity, share).distinct().join(done.select("a", "b"), ["a", "b"], "left_anti")
             more = written(compared(written(found, "pairs"), texts), "compared")
-            done, links = done.unionByName(more), links.unionByName(more.where(F.col("similarity") >= similarity).select("a", "b"))
-            labels = components(links, scratch)
+            done, links = done.unionByName(more), more.where(F.col("similarity") >= similarity).select("a", "b")
+            # a component found so far is a star of its label
+            labels = components(links.unionByName(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))), scratch)
             apart = still_apart(members, labels, scratch)
     named = known.select("doc_id", "text_hash", "node").join(labels, "node", "left").select("doc_id", "text_hash", F.when(F.col("node").isNotNull() & F.col("doc_id").isNotNull(), F.coalesce("label", "node")).alias("label"))
     named = written(named, "named", keep=True)

@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from formloom.llm import exact_dedup, near_dedup, suffix_dedup
+from formloom.llm.shared import Scratch
 
 
 def docs_of(spark, rows, extra=True):
@@ -47,11 +48,32 @@ def test_directory(spark):
     assert sum(size.values()) == 4000 and max(size.values()) <= 100
 
 
+def test_directory_deepens_where_cells_are_overfull(spark):
+    keys = spark.range(4000).select(F.xxhash64("id").alias("key"))
+    few, many = exact_dedup.directory(keys, 30, cell_bits=2), exact_dedup.directory(keys, 30)
+    assert few[1] == many[1] > 6 and sorted(few[0].collect()) == sorted(many[0].collect())
+    assert exact_dedup.directory(keys.limit(0), 30)[1] == 0
+
+
+def test_index(spark, tmp_path):
+    docs = docs_of(spark, ROWS, extra=False).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    index, _, _ = exact_dedup.build_index(docs, f"file://{tmp_path}/index", Scratch(spark), 1, 1)
+    entries = index.collect()
+    groups = Counter(t or "" for _, t in ROWS)
+    assert sorted((r.text, r.group_size) for r in entries) == sorted(groups.items())  # of two keys, so all chains have several links
+    assert all(sorted(r.chain for r in entries if r.key == k) == list(range(1, n + 1)) for k, n in Counter(r.key for r in entries).items())
+
+
 def test_keep_distinct(spark):
-    rows = [(1, "a"), (2, "a"), (2, "a"), (3, "b"), (4, None), (5, "")]
-    kept = exact_dedup.keep_distinct(docs_of(spark, rows))
-    assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(2, "a"), (3, "b"), (5, "")]
-    assert kept.columns == ["doc_id", "text", "key", "n", "bucket"]
+    rows = [(1, "a"), (2, "a"), (2, "a"), (3, "b"), (4, None), (4, ""), (6, "c"), (None, "c"), (None, "d"), (None, "d")]
+    names = ["row", "own_id", "own_text", "kept_doc_id", "kept_sha256", "gone_doc_id", "text_hash", "class_id"]
+    docs = docs_of(spark, rows).withColumns({n: F.lit(n) for n in names})
+    want = [(2, "a"), (3, "b"), (4, ""), (6, "c"), (None, "d")]
+    kept = exact_dedup.keep_distinct(docs)
+    assert sorted(((r.doc_id, r.text or "") for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert kept.columns == near_dedup.keep_one(docs).columns == docs.columns
+    assert near_dedup.keep_one(docs.where("doc_id = 4")).count() == 2  # without a word they are in no class
+    assert exact_dedup.keep_distinct(docs.limit(0)).count() == near_dedup.keep_one(docs.limit(0)).count() == 0
 
 
 def test_native_plan(spark):
