@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from formloom.llm.shared import scratch_path
+from formloom.llm.shared import scratch_path, written
 
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 FRAME_BYTES, BUNDLE_BYTES = 1 << 20, 1 << 28
@@ -177,35 +177,50 @@ def write_archives(pages: DataFrame, folder: str, id_column: str = "page_id", pa
 
 
 def read_archives(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
-    """Reads every indexed record through the seek tables: a row a record, with the digest of what was read.
+    """Reads every indexed record at its frame-relative offset: a row a record, with the length and digest of what was read.
 
-    Work is dealt by frame, a few MB each, so that no task depends on a bundle's size.
+    Work is dealt by frame, a few MB each, so that no task depends on a bundle's size. A revisit has no body: its length
+    and digest are those of the response that it refers to, as read; without that response reading fails. A body that
+    doesn't fit its digest fails too.
     """
-    frames = index.groupBy("bundle", "frame").agg(F.count("*").alias("n")).repartition("bundle", "frame").sortWithinPartitions("bundle", "frame")
+    places = index.select("bundle", "frame", "offset").repartition("bundle", "frame").sortWithinPartitions("bundle", "frame", "offset")
     names = [f.split()[0] for f in RECORD.split(", ")]
     types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary()]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = filesystem(folder)
-        opened, reader = "", None
+        opened, reader, held, data = "", None, -1, b""
         for batch in batches:
-            for bundle, frame in zip(batch.column("bundle").to_pylist(), batch.column("frame").to_pylist(), strict=True):
+            out = []
+            for bundle, frame, offset in zip(*(batch.column(c).to_pylist() for c in ("bundle", "frame", "offset")), strict=True):
                 if bundle != opened:
-                    opened, reader = bundle, BundleReader(store.open_input_file(f"{base}/{bundle}"))
-                data, at, out = reader.frame(frame), 0, []
-                while at < len(data):
-                    head, body, at = parse(data, at)
-                    refers = head.get("warc-refers-to")
-                    page = head["warc-record-id"][len("<urn:page:") : -1]
-                    stored = head["warc-payload-digest"].removeprefix("sha1:")
-                    seen = digest(body) if refers is None else stored
-                    if seen != stored:
-                        raise ValueError(f"payload of page {page} in {bundle} doesn't match its digest")
-                    length = len(body) if refers is None else int(head["warc-payload-length"])
-                    out.append((int(page) if page else None, head["warc-target-uri"], length, seen, stored, head["warc-type"], int(refers[len("<urn:page:") : -1]) if refers else None, body if with_payload else None))
+                    opened, reader, held = bundle, BundleReader(store.open_input_file(f"{base}/{bundle}")), -1
+                if frame != held:
+                    held, data = frame, reader.frame(frame)
+                head, body, _ = parse(data, offset)
+                refers = head.get("warc-refers-to")
+                page = head["warc-record-id"][len("<urn:page:") : -1]
+                stored = head["warc-payload-digest"].removeprefix("sha1:")
+                seen = digest(body) if refers is None else None
+                if refers is None and seen != stored:
+                    raise ValueError(f"payload of page {page} in {bundle} doesn't match its digest")
+                out.append((int(page) if page else None, head["warc-target-uri"], len(body) if refers is None else None, seen, stored, head["warc-type"], int(refers[len("<urn:page:") : -1]) if refers else None, body if with_payload else None))
+                if len(out) >= 64:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+                    out = []
+            if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
-    return frames.mapInArrow(read, RECORD)
+    records = written(places.mapInArrow(read, RECORD), "records")
+    # one response a payload and id: rows that repeat both are one
+    responses = records.where("record_type = 'response'").groupBy(F.col("page_id").alias("of_id"), F.col("payload_digest").alias("of_digest")).agg(F.max("payload_bytes").alias("of_bytes"))
+    responses = written(responses.where("of_id is not null"), "responses")
+    same = (F.col("refers_to") == F.col("of_id")) & (F.col("stored_digest") == F.col("of_digest"))
+    revisits = records.where("record_type = 'revisit'").join(responses, same, "left")
+    missing = F.raise_error(F.concat(F.lit("revisit without its response: page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
+    told = lambda c: F.coalesce(F.col(f"of_{c}"), missing.cast("long" if c == "bytes" else "string")).alias(f"payload_{c}")
+    revisits = revisits.select("page_id", "url", told("bytes"), told("digest"), "stored_digest", "record_type", "refers_to", "payload")
+    return records.where("record_type = 'response'").unionByName(revisits)
 
 
 def fetch(index: DataFrame, folder: str, page_id: int) -> list[tuple[dict[str, str], bytes]]:
