@@ -43,6 +43,21 @@ TEMPLATES = {
     "BSD-3-Clause-endorsement": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
     "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "MIT-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "BSD-warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.",
+    "ISC-warranty": "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. This notice may not be removed or altered from any source distribution.",
+    "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.",
+    "0BSD": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.",
+    "WTFPL": "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed.",
+    "Apache-2.0-copyright-grant": "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form.",
+    "GPL-verbatim": "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed.",
+    "GPL-no-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "AGPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "LGPL-2.1-header": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "EPL-2.0-notice": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/",
+    "CC-BY-SA-4.0-long": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "Unlicense-dedication": "In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors.",
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
@@ -98,36 +113,45 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_co
 
     containment is the greatest share of the template's distinct shingles in one window, widened by a step on
     either side; rows of 0.8 or more are returned. A null, empty or shorter text gives none. Rows that repeat
-    an id are taken together; a null id is an id of its own. Other columns are not read.
+    an id are taken together; a null id is an id of its own. A very long text costs its shingles, and what lies around
+    each key that it holds. Other columns are not read; an empty table gives no rows.
     """
     spark = docs.sparkSession
     known = template_table(spark, templates)
     mins = F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda j: F.get(F.filter("hashes", lambda h: F.xxhash64(h, j) == F.get("signature", j)), F.lit(0)))
     known = known.withColumn("mins", mins)
     keys = known.select("*", F.explode(F.array_distinct("mins")).alias("key"))
-    literal = [r[0] for r in keys.select("key").distinct().collect()]  # of the catalogue, not of the data
+    reach = F.col("size") + F.col("step")  # a window that holds the key lies within so many places of it, and so does its margin
+    literal = keys.groupBy("key").agg(F.max(reach).alias("reach")).collect()  # of the catalogue, not of the data
     small = len(literal) <= MAX_KEYS
     # exploding one array is a barrier: the shingles are hashed once, not again in the filter
     shingles = F.explode(F.array(shingle_hashes(words_of(F.col(text_column)))))
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), shingles.alias("shingles"))
-    place = lambda h, i: F.struct(i.alias("i"), h.alias("key"))
+
+    def around(i: Column, reach: Column) -> list[Column]:
+        """The shingles that far around a hit, and the place of the first: a hit carries these, not the whole text's."""
+        low = F.greatest(F.lit(0), i - reach)
+        return [low.alias("low"), F.slice("shingles", low + 1, 2 * reach + 1).alias("near")]
+
     if small:
-        wanted = F.array(*(F.lit(x) for x in literal)).cast("array<bigint>")
+        wanted = F.array(*(F.lit(r.key) for r in literal)).cast("array<bigint>")
+        reaches = F.create_map(*(x for r in literal for x in (F.lit(r.key), F.lit(r.reach)))) if literal else F.create_map().cast("map<bigint,int>")
         rows = rows.where(F.arrays_overlap("shingles", wanted))
-        at = bound(F.array_intersect("shingles", wanted), lambda present: F.filter(F.transform("shingles", lambda h, i: F.when(F.array_contains(present, h), place(h, i))), lambda x: x.isNotNull()))
+        hit = lambda h, i: bound(F.element_at(reaches, h), lambda r: F.struct(i.alias("i"), h.alias("key"), *around(i, r)))
+        at = bound(F.array_intersect("shingles", wanted), lambda present: F.filter(F.transform("shingles", lambda h, i: F.when(F.array_contains(present, h), hit(h, i))), lambda x: x.isNotNull()))
+        laid = rows.select("doc_id", F.explode(at).alias("hit")).select("doc_id", "hit.*").join(F.broadcast(keys), "key")
     else:
-        at = F.transform("shingles", place)
-    hits = rows.select("doc_id", "shingles", F.explode(at).alias("hit")).select("doc_id", "shingles", "hit.i", "hit.key")
-    laid = hits.join(F.broadcast(keys) if small else keys, "key")
+        hits = rows.select("doc_id", "shingles", F.posexplode("shingles").alias("i", "key"))
+        laid = hits.join(keys, "key").select("*", *around(F.col("i"), reach)).drop("shingles")
     # the windows that hold this key and none of the licence's keys before it
+    part = lambda start, n: F.slice("near", start - F.col("low") + 1, n)
     first = F.greatest(F.lit(0), F.col("i") - F.col("size") + 1)
-    before = F.slice("shingles", first + 1, F.col("i") - first)
-    last = F.coalesce(F.array_max(F.transform(before, lambda h, k: F.when(F.array_contains("mins", h), k))), F.lit(-1))
+    last = F.coalesce(F.array_max(F.transform(part(first, F.col("i") - first), lambda h, k: F.when(F.array_contains("mins", h), k))), F.lit(-1))
     start = F.explode(F.expr("filter(transform(sequence(0, (i - first) div step + 1), k -> step * ((first + step - 1) div step + k)), s -> s <= i)"))
-    laid = laid.withColumn("first", first + last + 1).withColumn("start", start).withColumn("window", F.slice("shingles", F.col("start") + 1, F.col("size")))
+    laid = laid.withColumn("first", first + last + 1).withColumn("start", start).withColumn("window", part(F.col("start"), F.col("size")))
     near = laid.where(band_keys(F.col("window"), F.col("mins"))).where(band_hit(signature(F.col("window")), F.col("signature")))
     low = F.greatest(F.lit(0), F.col("start") - F.col("step"))
-    wide = F.slice("shingles", low + 1, F.col("start") + F.col("size") + F.col("step") - low)
+    wide = part(low, F.col("start") + F.col("size") + F.col("step") - low)
     share = F.size(F.array_intersect("hashes", wide)) / F.size("hashes")
     exact = near.select("doc_id", "license_id", "start", share.alias("containment")).where(F.col("containment") >= CONTAINMENT)
     return exact.groupBy("doc_id", "license_id").agg(F.max("containment").alias("containment"), F.count_distinct("start").alias("n_windows"), F.min("start").cast("long").alias("first_word"))
