@@ -1,12 +1,13 @@
-"""Chat formatting: roles of a transcript's turns by a hidden Markov model, and their canonical rendering.
+"""Chat formatting: transcripts to turns, roles by a hidden Markov model, and their canonical rendering.
 
-States are roles. A turn is observed as a speaker marker (the name that its first line begins with, if any) and
-features of its lines: how long it is and how many lines it has. Rates are counted on turns of known roles;
-Viterbi's algorithm then finds the likeliest roles of a conversation.
+A transcript is cut into segments at lines that begin with a speaker marker and after blank lines. States are roles. A
+segment is observed as its marker (the name that its first line begins with, if any) and features of its lines: how
+long it is and how many lines it has. Rates are counted on turns of known roles; Viterbi's algorithm then finds the
+likeliest roles of a conversation.
 
-A conversation of any length is cut into ranges of turns. The best path through a range from each state to each
-is a matrix in the (max, +) algebra; matrices of a conversation are chained to find the states at the cuts, and
-each range is then decoded by itself. So no task holds more than a range of turns.
+A conversation of any length is cut into ranges of segments. The best path through a range from each state to each
+is a matrix in the (max, +) algebra; matrices of a conversation are chained to find the states at the cuts, in a tree
+where there are many, and each range is then decoded by itself. So no task holds more than a range.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from formloom.llm.shared import Scratch
+
 ROLES = ("system", "user", "assistant", "tool", "other")
 # Names that speakers go by.
 MARKERS = {
@@ -66,7 +69,6 @@ class RoleModel:
         marker, shape = cells.sum(axis=(2, 3)) + 0.5, cells.sum(axis=1) + 0.05
         for k in range(len(MARKERS)):
             marker[k, k + 1] += 50 + 0.2 * marker[k].sum()
-        marker[len(MARKERS), 0] += 50
         marker, shape = marker / marker.sum(axis=1, keepdims=True), shape / shape.sum(axis=(1, 2), keepdims=True)
         self.seen = (np.log(marker)[:, :, None, None] + np.log(shape)[:, None]).reshape(len(ROLES), N_SYMBOLS)
 
@@ -115,8 +117,11 @@ def train(turns: DataFrame) -> RoleModel:
     return RoleModel(first, after, seen)
 
 
+TYPES = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<double>": pa.list_(pa.float64())}
+
+
 def in_ranges(rows: DataFrame, columns: list[str], body, schema: str) -> DataFrame:
-    """Applies body to the rows of each (conv_id, part), in order of turn and text; one range is held at a time."""
+    """Applies body to the rows of each (conv_id, part), in order of seq; one range is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -132,67 +137,164 @@ def in_ranges(rows: DataFrame, columns: list[str], body, schema: str) -> DataFra
         if held:
             yield pa.RecordBatch.from_pylist(body(held), result)
 
-    result = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<double>": pa.list_(pa.float64())}[t]) for n, t in (f.split() for f in schema.split(", "))])
-    return rows.select(*columns).repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", *[c for c in ("turn", "text") if c in columns]).mapInArrow(run, schema)
+    result = pa.schema([(n, TYPES[t]) for n, t in (f.split() for f in schema.split(", "))])
+    return rows.select("conv_id", "part", "seq", *columns).repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "seq").mapInArrow(run, schema)
+
+
+def numbered(rows: DataFrame, order: list[str], scratch: Scratch) -> DataFrame:
+    """Adds seq, a number that follows the order within each conversation, and part, which at most RANGE rows share.
+
+    Rows are sorted by ranges, so a conversation may lie in many tasks; rows alike in all are dealt by chance. The numbers
+    are written, as another run may give others.
+    """
+    chance = F.rand(5).alias("chance")
+    sorted_rows = rows.select("*", chance).repartitionByRange("conv_id", *order, "chance").sortWithinPartitions("conv_id", *order, "chance").drop("chance")
+    return scratch.written(sorted_rows.withColumn("seq", F.monotonically_increasing_id()).withColumn("part", F.floor(F.col("seq") / RANGE).cast("long")), "numbered")
+
+
+SIZE = len(ROLES)
+
+
+def product(rows: list[dict]) -> list[float]:
+    """The matrix of ranges one after the other, and the vector of a conversation that begins with them."""
+    whole, begin = np.array(rows[0]["m"][: SIZE * SIZE]).reshape(SIZE, SIZE), np.array(rows[0]["m"][SIZE * SIZE :])
+    for r in rows[1:]:
+        m = np.array(r["m"][: SIZE * SIZE]).reshape(SIZE, SIZE)
+        whole, begin = (whole[:, :, None] + m[None]).max(axis=1), (begin[:, None] + m).max(axis=0)
+    return [*whole.reshape(-1).tolist(), *begin.tolist()]
+
+
+def chained(rows: list[dict], before: int | None, last: int | None) -> list[dict]:
+    """The states before and at the end of each range (place, m), given those around them all (None: the conversation begins, or ends)."""
+    matrices = [np.array(r["m"][: SIZE * SIZE]).reshape(SIZE, SIZE) for r in rows]
+    score, back = np.array(rows[0]["m"][SIZE * SIZE :]) if before is None else matrices[0][before], []
+    for m in matrices[1:]:
+        ways = score[:, None] + m
+        back.append(ways.argmax(axis=0))
+        score = ways.max(axis=0)
+    path = [int(score.argmax()) if last is None else last]
+    for b in reversed(back):
+        path.append(int(b[path[-1]]))
+    path = path[::-1]
+    return [{"conv_id": r["conv_id"], "place": r["seq"], "before": path[k - 1] if k else before, "last": path[k]} for k, r in enumerate(rows)]
+
+
+STEPS, ENDS = "conv_id long, seq long, m array<double>", "conv_id long, place long, before int, last int"
+
+
+def range_ends(steps: DataFrame, scratch: Scratch) -> DataFrame:
+    """(conv_id, place, before, last) of every range, of their matrices (conv_id, seq, m); place is the range's seq."""
+    steps = scratch.written(steps, "steps")
+    placed = steps.withColumn("part", F.floor(F.col("seq") / RANGE).cast("long"))
+    several = placed.groupBy("conv_id").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high")
+    if several.isEmpty():
+        return in_ranges(placed, ["m"], lambda rows: chained(rows, None, None), ENDS)
+    coarse = in_ranges(placed, ["m"], lambda rows: [{"conv_id": rows[0]["conv_id"], "seq": rows[0]["part"], "m": product(rows)}], STEPS)
+    ends = range_ends(coarse, scratch).withColumnsRenamed({"conv_id": "end_id", "place": "end_part"})
+    both = placed.join(ends, F.col("conv_id").eqNullSafe(F.col("end_id")) & (F.col("part") == F.col("end_part")))
+    return in_ranges(both, ["m", "before", "last"], lambda rows: chained(rows, rows[0]["before"], rows[0]["last"]), ENDS)
 
 
 def format_chats(conversations: DataFrame, model: RoleModel | None = None, conv_column: str = "conv_id", turn_column: str = "turn", text_column: str = "text", role_column: str | None = "role") -> DataFrame:
     """One row per turn: conv_id, turn, role (as given), found_role, rendered.
 
     Roles are found from the texts and their order alone; role_column trains the model where none is given. A
-    null text counts as empty; a null conversation is one of its own, and so is what a null turn begins with; turns
-    of one number go by text, repeated rows follow each other. Other columns are not read; an empty table gives
-    no rows. A rendered turn is <|role|>, the text without its marker and outer white space, <|end|>.
+    null text counts as empty; turns without a conversation are one of their own; a null turn number comes first, turns
+    of one number go by text, repeated rows follow each other. A very long text is observed like any other. Other
+    columns are not read; an empty table gives no rows. A rendered turn is <|role|>, the text without its marker and
+    outer white space, <|end|>.
     """
     role = F.col(role_column).cast("string") if role_column else F.lit(None).cast("string")
-    turns = conversations.select(F.col(conv_column).cast("long").alias("conv_id"), F.col(turn_column).cast("long").alias("turn"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), role.alias("role"))
-    turns = turns.withColumn("symbol", symbol(F.col("text"))).withColumn("role_index", role_index(F.col("role"))).withColumn("part", F.floor(F.col("turn") / RANGE).cast("long"))
-    model = train(turns) if model is None else model
-    one = turns.groupBy("conv_id").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.max(F.col("part").isNull()).alias("none"), F.max(F.col("part").isNotNull()).alias("some"))
-    long = one.where("low < high or (none and some)").select(F.col("conv_id").alias("long_id"))
-    cut_up = turns.join(long, F.col("conv_id").eqNullSafe(F.col("long_id")), "left_semi")
+    turns = conversations.select(F.col(conv_column).cast("long").alias("conv_id"), F.col(turn_column).cast("long").alias("turn"), F.lit(0).cast("long").alias("segment"), F.coalesce(F.col(text_column), F.lit("")).alias("text"), role.alias("role"))
+    return found_roles(turns, train(observed(turns)) if model is None else model).drop("segment")
+
+
+def observed(turns: DataFrame) -> DataFrame:
+    """Turns with their observation and the place of their role."""
+    return turns.withColumn("symbol", symbol(F.col("text"))).withColumn("role_index", role_index(F.col("role")))
+
+
+def found_roles(turns: DataFrame, model: RoleModel) -> DataFrame:
+    """(conv_id, turn, segment, text, role) with found_role and rendered."""
+    scratch = Scratch(turns.sparkSession)
+    turns = numbered(turns.withColumn("symbol", symbol(F.col("text"))), ["turn", "segment", "text"], scratch)
 
     def step(rows: list[dict]) -> list[dict]:
         symbols = [r["symbol"] for r in rows]
-        m = [*model.matrix(symbols).reshape(-1).tolist(), *model.begin(symbols).tolist()]
-        return [{"conv_id": rows[0]["conv_id"], "part": 0, "place": rows[0]["part"], "m": m}]
-
-    def chain(rows: list[dict]) -> list[dict]:
-        rows = sorted(rows, key=lambda r: (r["place"] is not None, r["place"] or 0))
-        size = len(ROLES)
-        score, back = np.array(rows[0]["m"][size * size :]), []
-        for r in rows[1:]:
-            ways = score[:, None] + np.array(r["m"][: size * size]).reshape(size, size)
-            back.append(ways.argmax(axis=0))
-            score = ways.max(axis=0)
-        path = [int(score.argmax())]
-        for b in reversed(back):
-            path.append(int(b[path[-1]]))
-        path = path[::-1]
-        return [{"long_id": r["conv_id"], "place": r["place"], "before": path[k - 1] if k else None, "last": path[k]} for k, r in enumerate(rows)]
+        return [{"conv_id": rows[0]["conv_id"], "seq": rows[0]["part"], "m": [*model.matrix(symbols).reshape(-1).tolist(), *model.begin(symbols).tolist()]}]
 
     def find(rows: list[dict]) -> list[dict]:
         found = model.decode([r["symbol"] for r in rows], rows[0]["before"], rows[0]["last"])
-        return [{"conv_id": r["conv_id"], "turn": r["turn"], "role": r["role"], "text": r["text"], "found": k} for r, k in zip(rows, found, strict=True)]
+        return [{"conv_id": r["conv_id"], "turn": r["turn"], "segment": r["segment"], "role": r["role"], "text": r["text"], "found": k} for r, k in zip(rows, found, strict=True)]
 
-    steps = in_ranges(cut_up, ["conv_id", "part", "turn", "text", "symbol"], step, "conv_id long, part long, place long, m array<double>")
-    ends = in_ranges(steps, ["conv_id", "part", "place", "m"], chain, "long_id long, place long, before int, last int")
-    same = F.col("conv_id").eqNullSafe(F.col("long_id")) & F.col("part").eqNullSafe(F.col("place"))
-    placed = turns.join(ends, same, "left")
-    found = in_ranges(placed, ["conv_id", "part", "turn", "text", "symbol", "role", "before", "last"], find, "conv_id long, turn long, role string, text string, found int")
+    # only conversations of several ranges need their matrices
+    long = turns.groupBy("conv_id").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select(F.col("conv_id").alias("long_id"))
+    cut_up = turns.join(long, F.col("conv_id").eqNullSafe(F.col("long_id")), "left_semi")
+    ends = scratch.written(range_ends(in_ranges(cut_up, ["symbol"], step, STEPS), scratch), "ends").withColumnRenamed("conv_id", "end_id")
+    placed = turns.join(ends, F.col("conv_id").eqNullSafe(F.col("end_id")) & (F.col("part") == F.col("place")), "left")
+    found = in_ranges(placed, ["turn", "segment", "text", "symbol", "role", "before", "last"], find, "conv_id long, turn long, segment long, role string, text string, found int")
     name = F.get(F.array(*map(F.lit, ROLES)), F.col("found"))
-    return found.select("conv_id", "turn", "role", name.alias("found_role"), rendered(name, F.col("text")).alias("rendered"))
+    return found.select("conv_id", "turn", "segment", "role", name.alias("found_role"), rendered(name, F.col("text")).alias("rendered"))
 
 
 def rendered(role: Column, text: Column) -> Column:
     return F.concat(F.lit("<|"), role, F.lit("|>\n"), F.regexp_replace(F.regexp_replace(text, HEAD, ""), r"^\s+|\s+$", ""), F.lit("\n<|end|>"))
 
 
+def segments(raw: Column) -> Column:
+    """The segments of a raw transcript: each begins at a line with a speaker marker or after a blank line. None in a null or blank text."""
+    marked = F.regexp_replace(raw, "(?m)" + HEAD.replace(r"^\s*", r"^[ \t]*"), "\u0001$0")
+    return F.filter(F.split(marked, "\u0001|\\n[ \\t]*\\n"), lambda x: x.rlike(r"\S"))
+
+
 def split_transcripts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Raw transcripts as turns (conv_id, turn, text): a turn begins at a line with a speaker marker or after a blank line.
+    """Raw transcripts as turns (conv_id, turn, text). format_chats, with a model that train() made, then finds the roles."""
+    return docs.select(F.col(id_column).cast("long").alias("conv_id"), F.posexplode(segments(F.col(text_column))).alias("turn", "text"))
+
+
+# How a speaker's name may stand in a raw transcript; %s is the name.
+STYLES = ("%s: ", "%s:\n", "[%s]: ", "### %s: ", "**%s**: ")
+
+
+def raw_transcripts(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, raw): conversations as they would stand in raw text, a piece of transcript a turn.
+
+    A speaker goes by one of the names of the role, in one of STYLES, or, one time in four, by none: such a turn begins
+    after a blank line. A conversation is the pieces in order; it is never gathered into one text, which has no bound.
+    """
+    draw = lambda n, salt: F.pmod(F.xxhash64("conv_id", "turn", F.lit(salt)), F.lit(n)).cast("int")
+    turns = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    name = F.lit(None).cast("string")
+    for role, names in MARKERS.items():
+        name = F.when(F.lower(F.trim("role")) == role, F.get(F.array(*(F.lit(n.title()) for n in names)), draw(len(names), 1))).otherwise(name)
+    style = F.get(F.array(*map(F.lit, STYLES)), draw(len(STYLES), 2))
+    head = F.when((draw(4, 3) > 0) & name.isNotNull(), F.replace(style, F.lit("%s"), name)).otherwise(F.lit("\n\n"))
+    return turns.select("conv_id", "turn", "role", F.concat(head, "text").alias("raw"))
+
+
+def parse_transcripts(raw: DataFrame, model: RoleModel) -> DataFrame:
+    """(conv_id, turn, segment, role, found_role, rendered) of pieces of transcripts (conv_id, turn, role, raw); role isn't read, only passed on.
+
+    A piece without a segment (null or blank) is one blank segment. Repeated pieces follow each other.
+    """
+    parts = segments(F.col("raw"))
+    parts = F.when(F.size(parts) > 0, parts).otherwise(F.array(F.lit("")))
+    rows = raw.select("conv_id", "turn", "role", F.posexplode(parts).alias("segment", "text"))
+    return found_roles(rows.select("conv_id", "turn", F.col("segment").cast("long").alias("segment"), "text", "role"), model)
+
+
+def held_out(conv_id: Column) -> Column:
+    """Conversations that the model isn't trained on: one in five, by a hash of the id."""
+    return F.coalesce(F.crc32(conv_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
+def parsed_conversations(conversations: DataFrame) -> DataFrame:
+    """Conversations as raw transcripts, parsed again: conv_id, turn, segment, held_out, role (as given), found_role, rendered.
 
-    format_chats, with a model that train() made, then finds the roles. A null or blank text has no turns.
+    The model is trained on the conversations that aren't held out; roles are found from raw text alone. Other columns
+    are not read; an empty table gives no rows.
     """
-    marked = F.regexp_replace(F.col(text_column), "(?m)" + HEAD.replace(r"^\s*", r"^[ \t]*"), "\u0001$0")
-    parts = F.filter(F.split(marked, "\u0001|\\n[ \\t]*\\n"), lambda x: x.rlike(r"\S"))
-    return docs.select(F.col(id_column).cast("long").alias("conv_id"), F.posexplode(parts).alias("turn", "text"))
+    raw = raw_transcripts(conversations)
+    known = raw.where(~held_out(F.col("conv_id"))).select("conv_id", "turn", F.col("raw").alias("text"), "role")
+    found = parse_transcripts(raw, train(observed(known)))
+    return found.select("conv_id", "turn", "segment", held_out(F.col("conv_id")).alias("held_out"), "role", "found_role", "rendered")

@@ -49,7 +49,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat_format.format_chats(read(spark, sf_dir, "conversations"))
+    return chat_format.parsed_conversations(read(spark, sf_dir, "conversations"))
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,4 +76,16 @@ ORACLE_SQL: dict[str, str] = {
         FROM documents
         WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    # base32 of a SHA-1: four letters for every five hexadecimal digits
+    "op3_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+             d AS (SELECT page_id, strlen(payload) AS n, sha1(payload) AS h, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+        SELECT page_id,
+               n AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i:
+                   substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM d
+    """,
 }

@@ -1,8 +1,10 @@
 import base64
 import hashlib
+import itertools
 import random
 import zlib
 from array import array
+from collections import Counter
 
 import pytest
 import zstandard
@@ -33,6 +35,11 @@ def test_warc_round_trip(spark, tmp_path):
         assert (r.payload_bytes, r.payload_digest) == (len(payload), digest(payload))
         assert (r.record_type, r.refers_to) == (("response", None) if original == i else ("revisit", original))
         assert r.payload == (payload if original == i else b"")
+    wrong = index.withColumn("offset", F.when(F.col("page_id") == 4, F.col("offset") + 1).otherwise(F.col("offset")))
+    with pytest.raises(Exception, match="no record at offset|subsection not found"):  # records are found by their offsets
+        warc.read_archives(wrong, folder).count()
+    with pytest.raises(Exception, match="revisit without its response"):
+        warc.read_archives(index.where("page_id <> 1"), folder).collect()
     head, body = warc.fetch(index, folder, 2)[0]
     assert body == ("é" * 9).encode() and head["warc-type"] == "response"
     names = list((tmp_path / "arc").glob("*.warc.zst"))
@@ -162,17 +169,32 @@ def test_roles(spark):
 
 
 def turns_of(df):
-    return df.select("conv_id", "turn", "text", "role", chat_format.symbol(F.col("text")).alias("symbol"), chat_format.role_index(F.col("role")).alias("role_index"))
+    return chat_format.observed(df.select("conv_id", "turn", "text", "role"))
 
 
 def test_ranges_give_the_whole_path(spark, monkeypatch):
     df = chats(spark, 60)
     model = chat_format.train(turns_of(df))
     long = df.withColumn("turn", F.col("conv_id") * 10 + F.col("turn")).withColumn("conv_id", F.lit(5))
-    monkeypatch.setattr(chat_format, "RANGE", 64)
-    got = [r.found_role for r in sorted(chat_format.format_chats(long, model).collect(), key=lambda r: r.turn)]
     symbols = [r.symbol for r in turns_of(long).orderBy("turn").collect()]
-    assert got == [chat_format.ROLES[k] for k in model.decode(symbols)]
+    want = [chat_format.ROLES[k] for k in model.decode(symbols)]
+    for size in (64, 4):  # the second makes a tree of ranges of ranges
+        monkeypatch.setattr(chat_format, "RANGE", size)
+        got = [r.found_role for r in sorted(chat_format.format_chats(long, model).collect(), key=lambda r: r.turn)]
+        assert got == want
+
+
+def test_decoding_is_the_best_of_all_paths(spark):
+    model = chat_format.train(turns_of(chats(spark, 40)))
+    rng = random.Random(11)
+    for n in (1, 2, 3, 4, 5):
+        symbols = [rng.randrange(chat_format.N_SYMBOLS) for _ in range(n)]
+
+        def score(path):
+            return model.first[path[0]] + sum(model.after[a, b] for a, b in itertools.pairwise(path)) + sum(model.seen[r, s] for r, s in zip(path, symbols, strict=True))
+
+        best = max(itertools.product(range(len(chat_format.ROLES)), repeat=n), key=score)
+        assert score(model.decode(symbols)) == pytest.approx(score(best))
 
 
 def test_odd_turns(spark):
@@ -193,3 +215,18 @@ def test_transcripts(spark):
     got = sorted(chat_format.format_chats(turns, model, role_column=None).collect(), key=lambda r: r.turn)
     assert [r.found_role for r in got] == ["user", "assistant", "user"]
     assert got[0].rendered == "<|user|>\nhi there\nhow are you\n<|end|>"
+
+
+def test_parsed_conversations(spark):
+    df = chats(spark, 200)
+    raw = chat_format.raw_transcripts(df)
+    assert 0.15 < raw.where("raw like '\n\n%'").count() / raw.count() < 0.35
+    got = chat_format.parsed_conversations(df).collect()
+    assert {(r.conv_id, r.turn) for r in got} == {(r.conv_id, r.turn) for r in df.collect()}
+    held = [r for r in got if r.held_out]
+    assert len(held) > 50 and all(r.held_out == (zlib.crc32(str(r.conv_id).encode()) % 5 == 0) for r in got)
+    assert sum(r.role == r.found_role for r in held) / len(held) > 0.95
+    assert all(r.rendered.startswith(f"<|{r.found_role}|>\n") and r.rendered.endswith("\n<|end|>") for r in got)
+    assert chat_format.parsed_conversations(df.limit(0)).count() == 0
+    odd = spark.createDataFrame([(None, None, None, None), (1, 1, "user", ""), (1, 1, "user", ""), (2, None, "x", "a\n\nb")], "conv_id long, turn long, role string, text string")
+    assert Counter(r.conv_id for r in chat_format.parsed_conversations(df.select(*odd.columns).where("conv_id > 5").union(odd)).collect() if r.conv_id is None or r.conv_id in (1, 2)) == {None: 1, 1: 2, 2: 2}
