@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -124,8 +125,36 @@ def test_secrets(spark):
 
 
 def test_markov_models():
-    right = [secrets.is_random(t) == bool(y) for t, y in secrets.labelled_samples(1500, 99) if not y or any(c.isdigit() for c in t) and any(c.isalpha() for c in t)]
-    assert np.mean(right) > 0.95
+    right = [secrets.is_random(t) == bool(y) for t, y in secrets.labelled_samples(1500, 99)]
+    assert np.mean(right) > 0.99
+
+
+def plain_markov_spans(text):
+    """The ratio of each maximal run, written out: counts of pairs in the samples, smoothed by a half."""
+    pairs = [Counter(), Counter()]
+    for token, label in secrets.labelled_samples():
+        pairs[label].update(zip(["", *token], token, strict=False))
+    total = [Counter(), Counter()]
+    for k in (0, 1):
+        for (a, _), n in pairs[k].items():
+            total[k][a] += n
+    chance = lambda k, a, b: (pairs[k][a, b] + 0.5) / (total[k][a] + 0.5 * len(secrets.CLASSES))
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text):
+        t = m[0]
+        if len(t) >= 20:
+            z = sum(np.log(chance(1, a, b) / chance(0, a, b)) for a, b in zip(["", *t], t, strict=False)) / len(t)
+            upper, digit, letter = (any(f(c) for c in t) for f in (str.isupper, str.isdigit, str.isalpha))
+            if z > secrets.threshold() and (upper or digit and letter):
+                out.append((m.start(), 3, m.end()))
+    return out
+
+
+def test_markov_spans():
+    rng = random.Random(5)
+    samples = [t for t, _ in secrets.labelled_samples(150, 31)]
+    text = " ".join(rng.choice([t, "plain words", "é", f"({t})", "x=" + t]) for t in samples)
+    assert secrets.markov_spans(text) == plain_markov_spans(text) and len(secrets.markov_spans(text)) > 50
 
 
 def test_markov_models_find_keys_without_digits():
@@ -164,17 +193,47 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
-def test_toxicity_without_both_labels():
-    model = toxicity.fit(["a", None], [0, 0])
-    assert (model.scores(["x", None]) < 0.5).all() and (toxicity.fit([], []).scores(["x"]) <= 0.5).all()
+def test_toxicity_of_repeated_ids_does_not_depend_on_order(spark):
+    rows = toxic_rows(400, 8)
+    twice = [(i, t) for i, t, _ in rows] + [(i, "vile " + t) for i, t, _ in rows[::3]]
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    models = [toxicity.train(docs_of(spark, order).repartition(n), labels) for order, n in ((twice, 3), (twice[::-1], 7))]
+    assert models[0] == models[1] and models[0].weight
+
+
+def test_toxicity_without_both_labels(spark):
+    docs = docs_of(spark, [(1, "a"), (2, None)])
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
+    assert (toxicity.train(docs, labels).scores(["x", None]) < 0.5).all()
+    assert (toxicity.train(docs, labels.limit(0)).scores(["x"]) <= 0.5).all()
+    assert (toxicity.train(docs.limit(0), labels).scores(["x"]) <= 0.5).all()
 
 
-def test_label_model_weighs_voters():
+def drawn_votes(n, accuracy=0.93):
     rng = np.random.default_rng(1)
-    y = rng.random(4000) < 0.3
-    good = (rng.random(4000) < np.where(y, 0.8, 0.02)).astype(float)
-    noise = (rng.random(4000) < 0.3).astype(float)
-    votes = np.stack([good, good, noise], axis=1)
-    post, rates, share = toxicity.label_model(votes, y.astype(float))
-    assert share[0] < 0.6 and share[2] > 0.9 and rates[1, 0] > 0.7 and abs(rates[1, 2] - rates[0, 2]) < 0.1
-    assert ((post > 0.5) == y).mean() > 0.95
+    y = rng.random(n) < 0.3
+    fires = lambda p, q: rng.random(n) < np.where(y, p, q)
+    good, other, noise = fires(0.8, 0.02), fires(0.6, 0.05), fires(0.3, 0.3)
+    label = np.where(rng.random(n) < accuracy, y, ~y)
+    return y, np.stack([good, good, other, fires(0.5, 0.03), noise], axis=1).astype(np.float32), label.astype(np.float32)
+
+
+def test_label_model_estimates_accuracies_and_correlations():
+    y, votes, label = drawn_votes(6000)
+    post, rates, share = toxicity.label_model(votes, label)
+    assert share[0] < 0.6 and share[1] < 0.6 and min(share[2:]) > 0.9  # the first two are one voter
+    assert abs(rates[1, 0] - 0.8) < 0.05 and abs(rates[1, 2] - 0.6) < 0.05 and abs(rates[1, 4] - rates[0, 4]) < 0.05
+    assert abs(rates[1, 5] - 0.93) < 0.04 and abs(rates[0, 5] - 0.07) < 0.04  # the human label's accuracy is estimated too
+    assert ((post > 0.5) == y).mean() > (label == y).mean() + 0.02
+
+
+def test_posteriors_are_those_of_enumeration():
+    y, votes, label = drawn_votes(3000)
+    votes = votes[:, [0, 2, 4]]
+    post, rates, share = toxicity.label_model(votes, label, rounds=200)
+    assert (share == 1).all()
+    joint = [np.ones(len(y)) * p for p in (1 - post.mean(), post.mean())]
+    for c in (0, 1):
+        for j, column in enumerate([*votes.T, label]):
+            joint[c] = joint[c] * np.where(column > 0, rates[c, j], 1 - rates[c, j])
+    assert np.abs(joint[1] / (joint[0] + joint[1]) - post).max() < 0.02
