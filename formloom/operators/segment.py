@@ -51,9 +51,10 @@ def single_document(pages: DataFrame, page: str, height: str) -> DataFrame:
     return pages.select("*", F.lit(0).alias("document_id"), first.alias("has_fields"), F.lit(True).alias("has_table"), F.when(first, F.bround(0.5 * F.col(height)).cast("int")).otherwise(F.lit(0)).alias("table_y0"), F.col(height).alias("table_y1"))
 
 
-def with_ocr(regions: DataFrame, results: DataFrame) -> DataFrame:
-    """Regions with what was read of them; '' and 0.0 where nothing was."""
-    return regions.join(results.select("region_id", "text", "confidence"), "region_id", "left").fillna({"text": "", "confidence": 0.0})
+def with_ocr(regions: DataFrame, results: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """Regions with what was read of them; '' and 0.0 where nothing was. keys: what names a region, beside its id."""
+    keys = keys or ["region_id"]
+    return regions.join(results.select(*keys, "text", "confidence"), keys, "left").fillna({"text": "", "confidence": 0.0})
 
 
 def regions_to_documents(regions: DataFrame, pages: DataFrame, file: str, page: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sources: file listings, Markdown, JSON lines, CSV (SC1-SC2, SC8-SC15, SC17-SC18), with explicit schemas."""
+"""Sources: file listings, Markdown, JSON lines, CSV (SC1-SC2, SC7-SC15, SC17-SC18), with explicit schemas."""
 
 from __future__ import annotations
 
@@ -40,30 +40,43 @@ def markdown(spark: SparkSession, root: str) -> DataFrame:
     return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """SC10: rows of a JSON-lines file with the place of each (line_no), bad lines left out.
+def existing(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """(path) of the files of a name in a tree, without a scheme; none where the tree isn't there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], "path string")
+    rows = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name).load(root)
+    return rows.select(F.regexp_replace("path", "^(file:)?/*", "/").alias("path"))
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(place, line) of the lines of text files that aren't blank. Places are in order: files by time of change and name, then lines.
 
-    Files are read whole, so that a line's number is that of its file; large manifests should carry a number.
+    Files are split where they are large: a line's place is its split's first byte and its turn in the task that reads it.
     """
-    text = spark.read.option("wholetext", "true").text(path)
-    lines = text.select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")).where(F.trim("line") != "")
-    parsed = lines.select("line_no", F.from_json("line", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
-    out = parsed.where("r is not null").select("line_no", "r.*")
+    rows = spark.read.text(path)
+    meta = [F.col(f"_metadata.{c}").alias(c) for c in ("file_modification_time", "file_path", "file_block_start")]
+    lines = rows.select(F.struct(*meta, F.monotonically_increasing_id().alias("turn")).alias("place"), F.col("value").alias("line"))
+    return lines.where(F.trim("line") != "")
+
+
+def json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """SC10: rows of JSON-lines files with the place of each (see numbered_lines), bad lines left out."""
+    parsed = numbered_lines(spark, path).select("place", F.from_json("line", schema, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r"))
+    out = parsed.where("r is not null").select("place", "r.*")
     return out.where("_corrupt_record is null").drop("_corrupt_record") if "_corrupt_record" in out.columns else out
 
 
 def vision_manifest(spark: SparkSession, path: str) -> DataFrame:
     """SC10, A1: last row of each file of status ok; pages of a file collapse to the last."""
     rows = json_lines(spark, path, VISION_MANIFEST)
-    return last_wins(rows.where("status = 'ok' and coalesce(rel_path, '') <> ''"), ["rel_path"], "line_no")
+    return last_wins(rows.where("status = 'ok' and coalesce(rel_path, '') <> ''"), ["rel_path"], "place")
 
 
 def ground_truth(spark: SparkSession, path: str) -> DataFrame:
     """SC11, A1: last row of each page; a bad line is an error."""
-    text = spark.read.option("wholetext", "true").text(path)
-    lines = text.select(F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line")).where(F.trim("line") != "")
-    rows = lines.select("line_no", F.from_json("line", GROUND_TRUTH, {"mode": "FAILFAST"}).alias("r")).select("line_no", "r.*")
-    return last_wins(rows, ["rel_path", "page_num"], "line_no")
+    rows = numbered_lines(spark, path).select("place", F.from_json("line", GROUND_TRUTH, {"mode": "FAILFAST"}).alias("r")).select("place", "r.*")
+    return last_wins(rows, ["rel_path", "page_num"], "place")
 
 
 def cv_results(spark: SparkSession, root: str) -> DataFrame:
