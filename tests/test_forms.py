@@ -9,11 +9,11 @@ def forms(spark, *rows):
     return spark.createDataFrame([(i, *(r.get(n) for n in range(1, 9))) for i, r in enumerate(rows)], "k long, " + ", ".join(f"{c} long" for c in F_))
 
 
-GOOD = {1: 1000, 2: 800, 3: 900, 4: 800, 5: 750, 6: 30, 7: 20, 8: 100}
+GOOD = {1: 640, 2: 512, 3: 600, 4: 512, 5: 470, 6: 25, 7: 17, 8: 88}
 
 
 def test_ballot_identities(spark):
-    rows = forms(spark, GOOD, {4: 800, 5: 750, 6: 30, 7: 10}, {3: 1000, 4: 800, 8: 100}, {2: 800, 4: 750}, {5: 750}, {})
+    rows = forms(spark, GOOD, {4: 512, 5: 470, 6: 25, 7: 9}, {3: 700, 4: 512, 8: 88}, {2: 512, 4: 470}, {6: 3}, {})
     got = validate.ballot_identities(rows, ["k"]).collect()
     assert {(r.k, r.chk) for r in got} == {(1, "ballot_breakdown_sum"), (2, "ballot_allocation_sum"), (3, "voters_vs_ballots")}
 
@@ -23,10 +23,10 @@ def cells(spark, **tables):
 
 
 def test_table_totals(spark):
-    rows = cells(spark, ok=[100, 200, 50, 350], bad=[100, 200, 50, 400], one=[100], text=["a", 1, 5])
-    assert [tuple(r) for r in validate.table_total_check(rows, "k").collect()] == [("bad", "table_column_sum", 350, 400)]
-    stats = spark.createDataFrame([("t", 999)], "k string, valid_ballots long")
-    assert validate.table_vs_valid(cells(spark, t=[100, 200, 300]), stats, "k").count() == 1
+    rows = cells(spark, ok=[41, 73, 19, 133], bad=[41, 73, 19, 140], one=[41], text=["x", 2, 9])
+    assert [tuple(r) for r in validate.table_total_check(rows, "k").collect()] == [("bad", "table_column_sum", 133, 140)]
+    stats = spark.createDataFrame([("t", 77)], "k string, valid_ballots long")
+    assert validate.table_vs_valid(cells(spark, t=[12, 30, 42]), stats, "k").count() == 1
 
 
 def test_completeness(spark):
@@ -35,7 +35,7 @@ def test_completeness(spark):
 
 
 def test_vision_stats(spark):
-    rows = [(1, "500", "10", "5", "515", "490"), (2, "500", "10", "5", "600", "490"), (3, "300", "0", "0", "300", "999"), (4, "100", None, None, None, None), (5, "400", "20", "5", "425", "380"), (6, "12a", "1", "1", "2", "3")]
+    rows = [(1, "260", "8", "4", "272", "255"), (2, "260", "8", "4", "301", "255"), (3, "140", "2", "1", "143", "520"), (4, "90", None, None, None, None), (5, " 333", "11", "๖", "350", "320"), (6, "7x", "1", "1", "2", "3")]
     df = spark.createDataFrame(rows, "k int, valid_ballots string, invalid_ballots string, no_vote_ballots string, ballots_used string, total_candidate_votes string")
     assert {(r.k, r.chk) for r in validate.vision_stats_checks(df, ["k"]).collect()} == {(2, "ballot_sum"), (3, "votes_exceed_valid")}
 
@@ -48,12 +48,12 @@ def test_triage_reasons(spark):
 
 
 def test_reconcile(spark):
-    regions = spark.createDataFrame([("a", "doc0_field_5", 0, "1"), ("a", "field_5", 1, "750"), ("a", "field_9", 2, "3"), ("b", "field_1", 0, "100")], "k string, region_id string, ord int, value string")
-    assert {tuple(r) for r in reconcile.cv_fields(regions, "k").collect()} == {("a", 5, 750), ("b", 1, 100)}
+    regions = spark.createDataFrame([("a", "doc0_field_5", 0, "1"), ("a", "field_5", 1, "431"), ("a", "field_9", 2, "3"), ("b", "field_1", 0, "62")], "k string, region_id string, ord int, value string")
+    assert {tuple(r) for r in reconcile.cv_fields(regions, "k").collect()} == {("a", 5, 431), ("b", 1, 62)}
     columns = [f"{s}_{n}" for n in range(1, 8) for s in ("cv", "vision")] + ["cv_total", "vision_total", "candidate_sum"]
-    rows = [("x", *[None] * 8, 750, 780, *[None] * 4, 300, 300, 290), ("y", *[None] * 8, 750, 750, *[None] * 4, None, 300, None)]
+    rows = [("x", *[None] * 8, 431, 440, *[None] * 4, 215, 215, 205), ("y", *[None] * 8, 431, 431, *[None] * 4, None, 215, None)]
     got = reconcile.reconcile(spark.createDataFrame(rows, "k string, " + ", ".join(f"{c} long" for c in columns)), "k").collect()
-    assert [tuple(r) for r in got] == [("x", "field_mismatch", "valid_ballots", 5, 750, 780, 30), ("x", "gemini_candidate_sum_mismatch", "sum(candidates.votes) vs total_candidate_votes", None, None, 300, 10)]
+    assert [tuple(r) for r in got] == [("x", "field_mismatch", "valid_ballots", 5, 431, 440, 9), ("x", "gemini_candidate_sum_mismatch", "sum(candidates.votes) vs total_candidate_votes", None, None, 215, 10)]
     assert reconcile.samples(spark.range(20).withColumn("g", F.lit(1)), "g", ["id"]).count() == 5
 
 
@@ -63,14 +63,14 @@ def test_candidate_total(spark):
 
 
 def test_evaluate(spark):
-    truth = spark.createDataFrame([(1, "blue", "p", 100), (1, "blue", "p", None), (2, None, "p", 50)], "k int, ink string, province string, gt long").withColumn("field", F.lit("f")).where("gt is not null")
-    pred = spark.createDataFrame([(1, "f", 110)], "k int, field string, pred long")
+    truth = spark.createDataFrame([(1, "blue", "p", 64), (1, "blue", "p", None), (2, None, "p", 31)], "k int, ink string, province string, gt long").withColumn("field", F.lit("f")).where("gt is not null")
+    pred = spark.createDataFrame([(1, "f", 71)], "k int, field string, pred long")
     rows = evaluate.detail(truth, pred, ["k"])
-    assert {(r.k, r.correct, r.abs_error) for r in rows.collect()} == {(1, False, 10), (2, False, None)}
+    assert {(r.k, r.correct, r.abs_error) for r in rows.collect()} == {(1, False, 7), (2, False, None)}
     metrics = evaluate.grouped_metrics(rows)
-    assert {(r.gid, r.n_fields, r.err_sum, r.err_n) for r in metrics.where("gid = 7").collect()} == {(7, 2, 10, 1)}
+    assert {(r.gid, r.n_fields, r.err_sum, r.err_n) for r in metrics.where("gid = 7").collect()} == {(7, 2, 7, 1)}
     assert evaluate.with_strata_guard(metrics).where("gid = 5").count() == 0  # a single province
-    assert evaluate.rates(metrics).where("gid = 7").first().mae == 10.0
+    assert evaluate.rates(metrics).where("gid = 7").first().mae == 7.0
 
 
 def test_manifest(spark):
@@ -85,10 +85,10 @@ def test_manifest(spark):
 
 
 def test_counts(spark):
-    text = "<!-- rel_path=district/1.md -->\n<!-- rel_path=other.md -->\n\n1.1 ผู้มีสิทธิ : จำนวน ๑๒๓ คน และ จำนวน 5 บัตร\nจำนวน 9 คนไทย\nจำนวน 6 บัตร์"
+    text = "<!-- rel_path=district/1.md -->\n<!-- rel_path=other.md -->\n\n2.3 ผู้มาใช้สิทธิ : จำนวน ๔๐๒ คน กับ จำนวน 7 บัตร\nจำนวน 8 คนงาน\nจำนวน 3 บัตร์"
     files = spark.createDataFrame([("m.md", text), ("e.md", ""), ("n.md", None)], "path string, text string")
     got = sorted(counts.count_items(files).collect(), key=lambda r: r.order)
-    assert [(r.order, r.schema, r.label, r.value, r.unit) for r in got] == [(0, "1.1", "ผู้มีสิทธิ", 123, "คน"), (1, "1.1", "ผู้มีสิทธิ : จำนวน ๑๒๓ คน และ", 5, "บัตร"), (2, "", "", 6, "บัตร")]
+    assert [(r.order, r.schema, r.label, r.value, r.unit) for r in got] == [(0, "2.3", "ผู้มาใช้สิทธิ", 402, "คน"), (1, "2.3", "ผู้มาใช้สิทธิ : จำนวน ๔๐๒ คน กับ", 7, "บัตร"), (2, "", "", 3, "บัตร")]
     assert {r.rel_path for r in got} == {"district/1.md"}
     assert {(r.rel_path, len(r.counts)) for r in counts.count_files(files).collect()} == {("district/1.md", 3), ("e.md", 0), ("n.md", 0)}
 
