@@ -45,11 +45,12 @@ def triage(confidence: Column, auto: float = 0.70, review: float = 0.40) -> Colu
 
 
 def human_bytes(n: Column) -> Column:
-    """PR8: base 1024, '0 B' for none, whole bytes, else two decimals, up to TB."""
-    out = F.format_string("%.2f TB", n / float(KB**4))
+    """PR8: base 1024, '0 B' for none, whole bytes, else two decimals, half to even, up to TB; sizes below 0 keep their sign."""
+    shown = lambda power, unit: F.format_string(f"%.2f {unit}", F.bround(n / float(KB**power), 2))
+    out = shown(4, "TB")
     for power, unit in ((3, "GB"), (2, "MB"), (1, "KB")):
-        out = F.when(n < KB ** (power + 1), F.format_string(f"%.2f {unit}", n / float(KB**power))).otherwise(out)
-    return F.when(n <= 0, F.lit("0 B")).when(n < KB, F.format_string("%d B", n)).otherwise(out)
+        out = F.when(F.abs(n) < KB ** (power + 1), shown(power, unit)).otherwise(out)
+    return F.when(n == 0, F.lit("0 B")).when(F.abs(n) < KB, F.format_string("%d B", n)).otherwise(out)
 
 
 SIZE_BUCKETS = ((500 * KB**2, "<500 MB"), (KB**3, "<1 GB"), (5 * KB**3, "<5 GB"), (10 * KB**3, "<10 GB"), (20 * KB**3, "<20 GB"))

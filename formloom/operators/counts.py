@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -22,9 +22,8 @@ def count_items(files: DataFrame) -> DataFrame:
     Hits of a line are numbered by their place; a label is all that stands before its hit. Files without a count
     give no rows here (see count_files).
     """
-    lines = files.select("path", F.posexplode(F.split(F.coalesce("text", F.lit("")), BREAK)).alias("line_no", "line"))
+    lines = files.select("path", header().alias("rel_path"), F.posexplode(F.split(F.coalesce("text", F.lit("")), BREAK)).alias("line_no", "line"))
     lines = lines.withColumn("bare", F.trim(F.regexp_replace("line", r"^(?U:\s)+|(?U:\s)+$", "")))
-    named = headers(files)
     kept = lines.where((F.col("bare") != "") & ~(F.col("bare").startswith("<!--") & F.col("bare").endswith("-->")))
     hits = F.expr(f"regexp_extract_all(line, r'{COUNT}', 0)")
     kept = kept.withColumn("hits", hits).where(F.size("hits") > 0)
@@ -35,11 +34,12 @@ def count_items(files: DataFrame) -> DataFrame:
         lambda a, h: F.struct((F.call_function("locate", h, F.col("line"), a["from"]) + F.length(h)).alias("from"), F.concat(a["at"], F.array(F.call_function("locate", h, F.col("line"), a["from"]))).alias("at")),
         lambda a: a["at"],
     )
-    one = kept.select("path", "line_no", "line", F.posexplode(F.arrays_zip("hits", starts.alias("at"))).alias("hit_no", "hit"))
+    one = kept.select("path", "rel_path", "line_no", "line", F.posexplode(F.arrays_zip("hits", starts.alias("at"))).alias("hit_no", "hit"))
     before = F.regexp_replace(F.col("line").substr(F.lit(1), F.col("hit.at") - 1), r"^(?U:\s)+|(?U:\s)+$", "")
     label = F.regexp_replace(F.regexp_replace(F.regexp_replace("before", LEAD, ""), r"(?U:\s)+", " "), r"^[ :\-–—\t]+|[ :\-–—\t]+$", "")
     out = one.withColumn("before", before).select(
         "path",
+        "rel_path",
         "line_no",
         "hit_no",
         ascii_digits(F.regexp_extract("before", LEAD, 1)).alias("schema"),
@@ -49,17 +49,17 @@ def count_items(files: DataFrame) -> DataFrame:
         F.regexp_replace("line", r"^(?U:\s)+|(?U:\s)+$", "").alias("raw_line"),
     )
     order = F.row_number().over(W.partitionBy("path").orderBy("line_no", "hit_no")) - 1
-    return out.where("value is not null").withColumn("order", order).drop("line_no", "hit_no").join(named, "path", "left")
+    return out.where("value is not null").withColumn("order", order).drop("line_no", "hit_no")
 
 
-def headers(files: DataFrame) -> DataFrame:
-    """(path, rel_path): the first rel_path comment of each file, else null."""
+def header() -> Column:
+    """The path in the first rel_path comment of a text, else null."""
     bare = F.transform(F.split(F.coalesce("text", F.lit("")), BREAK), lambda x: F.trim(x))
-    return files.select("path", F.nullif(F.regexp_extract(F.get(F.filter(bare, lambda x: x.rlike(HEADER)), F.lit(0)), HEADER, 1), F.lit("")).alias("rel_path"))
+    return F.nullif(F.regexp_extract(F.get(F.filter(bare, lambda x: x.rlike(HEADER)), F.lit(0)), HEADER, 1), F.lit(""))
 
 
 def count_files(files: DataFrame, kind: str | None = None) -> DataFrame:
     """One row per file with its counts, an empty array without any: rel_path, path, counts."""
     items = count_items(files).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("order", "schema", "label", "value", "unit", "raw_line"))).alias("counts"))
-    out = headers(files).join(items, "path", "left").select(F.coalesce("rel_path", F.col("path").cast("string")).alias("rel_path"), "path", F.coalesce("counts", F.expr("cast(array() as array<struct<order:int,schema:string,label:string,value:bigint,unit:string,raw_line:string>>)")).alias("counts"))
+    out = files.select("path", header().alias("rel_path")).join(items, "path", "left").select(F.coalesce("rel_path", F.col("path").cast("string")).alias("rel_path"), "path", F.coalesce("counts", F.expr("cast(array() as array<struct<order:int,schema:string,label:string,value:bigint,unit:string,raw_line:string>>)")).alias("counts"))
     return out if kind is None else out.where(kind_of_path(F.col("rel_path")) == kind)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from formloom.functions.text import clamp_box
+
 
 def ink_runs(profile: DataFrame, key: str, at: str, ink: str, fraction: float = 0.55) -> DataFrame:
     """Maximal runs of ink of at least the fraction of the greatest, with their centres (half to even)."""
@@ -96,11 +100,17 @@ def target_column(lines: Column, index: int | None = None) -> Column:
     return F.when((n >= 1) & (at >= 0) & (at < n), F.struct(F.get(xs, at).alias("x0"), F.get(xs, at + 1).alias("x1")))
 
 
-def target_cells(tables: DataFrame, key: str, header_rows: int = 1) -> DataFrame:
-    """TF6: cells of the target column below the header rows, of (key, y_lines, x0, x1)."""
+def target_cells(tables: DataFrame, key: str, header_rows: int = 1, size: tuple[str, str] | None = None) -> DataFrame:
+    """TF6: cells of the target column below the header rows, of (key, y_lines, x0, x1); cut to the page and without
+    empty ones where size names the columns of its width and height."""
     ys = F.array_sort(F.array_distinct("y_lines"))
-    out = tables.select(key, "x0", "x1", ys.alias("ys")).select(key, "x0", "x1", F.posexplode(F.transform(F.slice("ys", 1, F.greatest(F.size("ys") - 1, F.lit(0))), lambda a, i: F.struct(a.alias("y0"), F.get("ys", i + 1).alias("y1")))).alias("grid_row", "c"))
-    return out.where(F.col("grid_row") >= header_rows).select(key, F.col("grid_row").cast("bigint").alias("grid_row"), F.col("x0").alias("x"), F.col("c.y0").alias("y"), (F.col("x1") - F.col("x0")).alias("w"), (F.col("c.y1") - F.col("c.y0")).alias("h"))
+    page = list(size or ())
+    out = tables.select(key, "x0", "x1", *page, ys.alias("ys")).select(key, "x0", "x1", *page, F.posexplode(F.transform(F.slice("ys", 1, F.greatest(F.size("ys") - 1, F.lit(0))), lambda a, i: F.struct(a.alias("y0"), F.get("ys", i + 1).alias("y1")))).alias("grid_row", "c"))
+    out = out.where(F.col("grid_row") >= header_rows).select(key, *page, F.col("grid_row").cast("bigint").alias("grid_row"), F.col("x0").alias("x"), F.col("c.y0").alias("y"), (F.col("x1") - F.col("x0")).alias("w"), (F.col("c.y1") - F.col("c.y0")).alias("h"))
+    if size is None:
+        return out
+    box = clamp_box(F.col("x"), F.col("y"), F.col("w"), F.col("h"), F.col(size[0]), F.col(size[1]))
+    return out.select(key, "grid_row", box.alias("b")).select(key, "grid_row", "b.*").where("w > 0 and h > 0")
 
 
 def has_dots(xs: Column, width: Column, least: int = 5) -> Column:
@@ -127,16 +137,25 @@ def zncc(a: Column, b: Column) -> Column:
     return F.get(F.transform(F.array(F.struct(ca.alias("a"), cb.alias("b"))), lambda p: F.try_divide(dot(p["a"], p["b"]), F.sqrt(dot(p["a"], p["a"]) * dot(p["b"], p["b"])))), F.lit(0))
 
 
-def best_template(images: DataFrame, templates: DataFrame, key: str, max_templates: int = 1000, last_wins: bool = True) -> DataFrame:
+def best_template(images: DataFrame, templates: DataFrame, key: str, block: int = 1000, last_wins: bool = True) -> DataFrame:
     """The template that fits each image best, of (key, vector) and (template_id, template).
 
-    Templates are a set of a checked size, compared with all images; of equal scores the last wins, or the first.
+    Templates are a stated set that is compared with all images, in blocks that are broadcast; of equal scores the last
+    template wins, or the first. Blocks are drawn by a hash and made smaller until each holds at most `block`.
     """
-    if templates.count() > max_templates:
-        raise ValueError(f"more than {max_templates} templates: match them in blocks")
-    pairs = images.crossJoin(F.broadcast(templates)).select(key, "template_id", F.round(zncc(F.col("vector"), F.col("template")), 6).alias("score"))
+    n = max(1, -(-templates.count() // block))
+    while True:
+        part = F.pmod(F.xxhash64("template_id"), F.lit(n))
+        sizes = templates.groupBy(part.alias("part")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        if sizes <= block:
+            break
+        n += 1 + n // 4
     tie = F.col("template_id") if last_wins else -F.col("template_id")
-    return pairs.groupBy(key).agg(F.max_by(F.struct("template_id", "score"), F.struct("score", tie)).alias("r")).select(key, "r.template_id", "r.score")
+    score = F.round(zncc(F.col("vector"), F.col("template")), 6).alias("score")
+    pairs = [images.crossJoin(F.broadcast(templates.where(part == k))).select(key, "template_id", score) for k in range(n)]
+    best = [p.groupBy(key).agg(F.max_by(F.struct("template_id", "score"), F.struct("score", tie)).alias("r")).select(key, "r.template_id", "r.score") for p in pairs]
+    found = reduce(DataFrame.unionByName, best)
+    return found if n == 1 else found.groupBy(key).agg(F.max_by(F.struct("template_id", "score"), F.struct("score", tie)).alias("r")).select(key, "r.template_id", "r.score")
 
 
 def projection(cells: DataFrame, key: str, vector: str, threshold: float = 0.0) -> DataFrame:

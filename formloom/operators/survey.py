@@ -1,4 +1,4 @@
-"""Surveys of file collections."""
+"""Surveys of file collections."""
 
 from __future__ import annotations
 
@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from formloom.functions.text import ALL_BUCKETS, email_class, filename_class, human_bytes, size_bucket, without_last_dash
+from formloom.functions.paths import path_metadata
+from formloom.functions.text import ALL_BUCKETS, clean_cell, email_class, filename_class, human_bytes, size_bucket, without_last_dash
 
 
 def largest_by_folder(rows: DataFrame) -> DataFrame:
@@ -160,8 +161,90 @@ def coverage(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.agg(F.count("*").alias("total"), *(F.count(c).alias(f"n_{c}") for c in columns))
 
 
+def dominant_patterns(paths: DataFrame, order: str) -> DataFrame:
+    """The commonest name class of the files of each folder; of equals the one seen first."""
+    named = paths.select(F.regexp_replace("path", "/?[^/]*$", "").alias("folder"), filename_class(F.element_at(F.split("path", "/"), -1)).alias("pattern"), order)
+    n = named.groupBy("folder", "pattern").agg(F.count("*").alias("n"), F.min(order).alias("seen"))
+    return n.groupBy("folder").agg(F.max_by(F.struct("pattern", "n"), F.struct(F.col("n"), -F.col("seen"))).alias("r")).select("folder", "r.pattern", "r.n")
+
+
+def depth_pattern_members(paths: DataFrame, key: str) -> DataFrame:
+    """The pattern of depths of each key, as rows, with how many keys share it."""
+    depth = paths.select(key, (F.size(F.split("path", "/")) - 1).alias("depth")).distinct()
+    pattern = depth.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_set("depth")), lambda d: d.cast("string")), ",").alias("pattern"))
+    return pattern.join(pattern.groupBy("pattern").agg(F.count("*").alias("n")), "pattern")
+
+
+def distinct_values(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """(attribute, value, n): the distinct known values of each attribute, as rows."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("attribute"), F.col(c).cast("string").alias("value")) for c in columns)))
+    return rows.select(pairs.alias("p")).select("p.*").where("value is not null").groupBy("attribute", "value").agg(F.count("*").alias("n"))
+
+
+def by_size(rows: DataFrame) -> DataFrame:
+    """ST2: the largest first, equals in the order of the list."""
+    return rows.orderBy(F.col("bytes").desc(), "ord")
+
+
+def survey_status(rows: DataFrame) -> DataFrame:
+    """A10: how many provinces were scanned, failed, or have no link."""
+    status = F.when(F.coalesce("folder_id", F.lit("")) == "", F.lit("skipped")).when(F.coalesce("error", F.lit("")) != "", F.lit("error")).otherwise(F.lit("scanned"))
+    return rows.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
+
+
+def survey_summary(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """The size survey as rows (section, name, n, bytes): total, regions, histogram, statuses and anomalies."""
+    none = F.lit(None).cast("bigint").alias("bytes")
+    total = global_totals(rows).select(F.lit("total").alias("section"), F.lit("folders").alias("name"), F.col("n_folders").alias("n"), "bytes")
+    regions = region_totals(rows).select(F.lit("region").alias("section"), F.col("region").alias("name"), F.col("provinces").alias("n"), "bytes")
+    buckets = size_histogram(spark, rows, "bytes").select(F.lit("size").alias("section"), F.col("bucket").alias("name"), "n", none)
+    statuses = survey_status(rows).select(F.lit("status").alias("section"), F.col("status").alias("name"), "n", none)
+    tags = anomalies(rows).groupBy("tag").agg(F.count("*").alias("n")).select(F.lit("anomaly").alias("section"), F.col("tag").alias("name"), "n", none)
+    return total.unionByName(regions).unionByName(buckets).unionByName(statuses).unionByName(tags)
+
+
+def owner_report(rows: DataFrame, owners: DataFrame) -> DataFrame:
+    """Per province its owner, the class of the account, and how many provinces share its folder (1: none other)."""
+    named = owner_lookup(rows, owners).withColumn("email_type", F.when(F.col("owner") == "not_scanned", F.lit("not_scanned")).otherwise(email_class(F.col("owner"))))
+    return named.join(shared_folders(rows), "folder_id", "left").select("province", "folder_id", "owner", "email_type", F.coalesce("n", F.lit(1)).cast("bigint").alias("n_sharing"))
+
+
+def listing_report(files: DataFrame, links: DataFrame) -> DataFrame:
+    """C7, SK8, J7: files of scanned folders (folder_id, ord, size, owner) as totals of every province that links to the folder: province, ord, files, bytes, owner, size_human."""
+    found = files.groupBy("folder_id").agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.min_by("owner", "ord").alias("owner"))
+    return fanned_out(found, links.select("province", "ord", "folder_id")).withColumn("size_human", human_bytes(F.col("bytes")))
+
+
+def master_listing(files: DataFrame, links: DataFrame) -> DataFrame:
+    """SK8: every file of a folder once for each province that links to it."""
+    return links.select("province", "folder_id").join(files, "folder_id")
+
+
+def folder_survey(paths: DataFrame, key: str, order: str) -> DataFrame:
+    """A profile of each key's files: totals, commonest depth, pattern of depths."""
+    depth = dominant_depth(paths, key, order).select(key, F.col("depth").alias("main_depth"))
+    pattern = depth_pattern_members(paths, key).select(key, F.col("pattern").alias("depths"))
+    return folder_totals(paths, key).join(depth, key).join(pattern, key)
+
+
+def path_report(paths: DataFrame) -> DataFrame:
+    """What path_metadata finds in each path, with the file's name."""
+    return paths.select("path", path_metadata(F.col("path")).alias("m")).select("path", F.element_at(F.split("path", "/"), -1).alias("file"), "m.province", "m.constituency", "m.amphoe", "m.tambon", "m.form_type", "m.unit_number", "m.is_advance_voting")
+
+
+def page_tables(tables: DataFrame) -> DataFrame:
+    """C16, SO5, PR11: the cells of table rows (page, row_no, cells) as cleaned columns c0, c1, ...; narrow tables are filled with ''.
+
+    As many columns as the widest row has, so all pages' tables stand below each other under one header.
+    """
+    width = tables.agg(F.coalesce(F.max(F.size("cells")), F.lit(0))).first()[0]
+    cell = lambda k: F.coalesce(clean_cell(F.get("cells", F.lit(k))), F.lit("")).alias(f"c{k}")
+    return tables.select("page", "row_no", *(cell(k) for k in range(width)))
+
+
 def size_report(rows: DataFrame) -> DataFrame:
-    """C5, SK16: the report as one JSON text, over totals, regions and anomalies."""
+    """C5, SK16, PR30: the report as one JSON text, over totals, regions, statuses and anomalies."""
+    statuses = survey_status(rows).agg(F.array_sort(F.collect_list(F.struct("status", "n"))).alias("statuses"))
     regions = region_totals(rows).agg(F.array_sort(F.collect_list(F.struct("region", "provinces", "files", "bytes"))).alias("regions"))
     found = anomalies(rows).groupBy("tag").agg(F.count("*").alias("n")).agg(F.array_sort(F.collect_list(F.struct("tag", "n"))).alias("anomalies"))
-    return global_totals(rows).crossJoin(F.broadcast(regions)).crossJoin(F.broadcast(found)).select(F.to_json(F.struct("*")).alias("report"))
+    return global_totals(rows).crossJoin(F.broadcast(regions)).crossJoin(F.broadcast(statuses)).crossJoin(F.broadcast(found)).select(F.to_json(F.struct("*")).alias("report"))

@@ -147,6 +147,5 @@ def first_page_warning(pages: DataFrame, key: str) -> DataFrame:
 
 def row_numbers(cells: DataFrame, key: str, page: str, grid_row: str) -> DataFrame:
     """Row number of a kept cell: grid row in its page, after all cells kept on earlier pages of the document."""
-    per_page = cells.groupBy(key, page).agg(F.count("*").alias("kept"))
-    before = F.coalesce(F.sum("kept").over(W.partitionBy(key).orderBy(page).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return cells.join(per_page.select(key, page, before.alias("offset")), [key, page]).withColumn("row_number", F.col(grid_row) + F.col("offset"))
+    before = F.count("*").over(W.partitionBy(key).orderBy(page).rangeBetween(W.unboundedPreceding, -1))
+    return cells.withColumn("offset", before).withColumn("row_number", F.col(grid_row) + F.col("offset"))

@@ -30,18 +30,18 @@ FORM_COLUMNS = {
 }
 INK = "CASE status WHEN 'F' THEN 'blue' WHEN 'O' THEN 'black' END"
 SELECTED = ", ".join(f"{e} AS {c}" for c, e in FORM_COLUMNS.items())
-UNPIVOTED = " UNION ALL ".join(f"SELECT k, ink, province, '{c}' AS field, {c} AS v FROM forms" for c in FIELDS)
+UNPIVOTED = f"SELECT k, ink, province, field, v FROM forms UNPIVOT INCLUDE NULLS (v FOR field IN ({', '.join(FIELDS)}))"
 GT = "CASE WHEN field = 'eligible_voters' AND k % 29 = 0 THEN NULL ELSE v END"
 PRED = "CASE WHEN k % 17 = 0 THEN NULL WHEN k % 13 = 0 THEN v + k % 4 ELSE v END"
 
 #: The adapters as SQL, in the order in which they build on each other.
 SQL = {
-    "base": "base AS (SELECT o_orderkey AS k, o_orderstatus AS status, n_name AS province, r_name AS region FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)",
-    "forms": f"forms AS (SELECT k, province, region, {INK} AS ink, {SELECTED}, region || '/' || province || '/' || k || '.pdf' AS rel_path FROM base)",
+    "base": "base AS MATERIALIZED (SELECT o_orderkey AS k, o_orderstatus AS status, n_name AS province, r_name AS region FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)",
+    "forms": f"forms AS MATERIALIZED (SELECT k, province, region, {INK} AS ink, {SELECTED}, region || '/' || province || '/' || k || '.pdf' AS rel_path FROM base)",
     "long": f"long AS ({UNPIVOTED})",
     "gt": f"gt AS (SELECT k, ink, province, field, {GT} AS gt FROM long)",
     "pred": f"pred AS (SELECT k, field, {PRED} AS pred FROM long WHERE k % 11 <> 0)",
-    "lines": "lines AS (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord, CAST(l_quantity AS BIGINT) AS v, (l_partkey % 100) / 100.0e0 AS confidence FROM lineitem)",
+    "lines": "lines AS MATERIALIZED (SELECT l_orderkey AS k, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS ord, CAST(l_quantity AS BIGINT) AS v, (l_partkey % 100) / 100.0e0 AS confidence FROM lineitem)",
     "cells": f"cells AS (SELECT k, ord, v, confidence FROM lines UNION ALL SELECT k, count(*) + 1, CAST(sum(v) + max({hit(17)}) AS BIGINT), 0.9e0 FROM lines GROUP BY k)",
 }
 

@@ -92,23 +92,6 @@ def dots(spark: Session, sf: str) -> Frame:
     return table(spark, sf, "events").groupBy(F.col("user_id").alias("k")).agg(F.array_sort(F.collect_set(dot)).alias("dots"))
 
 
-@query()
-def y_clusters(spark: Session, sf: str) -> Frame:
-    """A fold whose mean moves has no SQL; the tests hold it against a loop."""
-    rows = dots(spark, sf).select("k", F.posexplode(layout.y_clusters(F.col("dots"))).alias("cluster", "c"))
-    return rows.select("k", "cluster", F.round("c.center", 6).alias("center"), F.size("c.dots").alias("n_dots"))
-
-
-@query()
-def dot_lines(spark: Session, sf: str) -> Frame:
-    """Clusters, their sequences, and the lines that stay; the tests hold it against a loop."""
-    clusters = dots(spark, sf).select("k", F.explode(layout.y_clusters(F.col("dots"))).alias("c"))
-    runs = clusters.select("k", F.col("c.center").alias("y"), F.explode(layout.dot_sequences(F.array_sort(F.transform("c.dots", lambda d: d["x"])), low=1, high=60)).alias("run"))
-    line = F.struct(F.bround("y").cast("int").alias("y"), F.element_at("run", 1).alias("x_start"), F.element_at("run", -1).alias("x_end"), (F.element_at("run", -1) - F.element_at("run", 1)).alias("length"), F.size("run").alias("dot_count"))
-    found = runs.select("k", line.alias("line")).groupBy("k").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-    return found.select("k", F.explode(layout.distinct_lines(F.col("lines"))).alias("line")).select("k", "line.*")
-
-
 GRID = "WITH xs AS (SELECT DISTINCT l_orderkey AS k, l_partkey % 500 AS x FROM lineitem), ys AS (SELECT DISTINCT l_orderkey AS k, l_suppkey AS y FROM lineitem), c AS (SELECT k, x, lead(x) OVER w AS x1, row_number() OVER w - 1 AS col FROM xs WINDOW w AS (PARTITION BY k ORDER BY x)), r AS (SELECT k, y, lead(y) OVER w AS y1, row_number() OVER w - 1 AS row FROM ys WINDOW w AS (PARTITION BY k ORDER BY y)) "
 
 

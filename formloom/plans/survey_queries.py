@@ -134,11 +134,24 @@ def selected_semi(spark: Session, sf: str) -> Frame:
     return table(spark, sf, "customer").join(chosen, F.col("c_nationkey") == F.col("n_nationkey"), "left_semi").select("c_custkey")
 
 
-@query(SIZES + "SELECT province, CASE WHEN folder_id = '' THEN 'not_scanned' WHEN ord % 3 = 0 THEN 'not_scanned' ELSE 'owner ' || folder_id END AS owner FROM s WHERE ord < 1400")
+OWNED = "owned AS (SELECT folder_id AS key, 'u' || (ord % 1400) || CASE ord % 4 WHEN 0 THEN '@ect.go.th' WHEN 1 THEN '.ect@gmail.com' ELSE '@gmail.com' END AS owner FROM s WHERE folder_id <> '' AND ord % 3 <> 0 UNION ALL SELECT province, 'keeper@uni.ac.th' FROM s WHERE folder_id = '' AND ord % 2 = 0), first_owner AS (SELECT key, min(owner) AS owner FROM owned GROUP BY key)"
+
+
+def owners(spark: Session, sf: str) -> Frame:
+    """Owners of folders, several for some, and of provinces that have no folder."""
+    rows = sizes(spark, sf)
+    of_folders = rows.where("folder_id <> '' and ord % 3 <> 0").selectExpr("folder_id AS key", "concat('u', ord % 1400, CASE ord % 4 WHEN 0 THEN '@ect.go.th' WHEN 1 THEN '.ect@gmail.com' ELSE '@gmail.com' END) AS owner")
+    return of_folders.unionByName(rows.where("folder_id = '' and ord % 2 = 0").selectExpr("province AS key", "'keeper@uni.ac.th' AS owner"))
+
+
+@query(SIZES + f", {OWNED} SELECT province, coalesce(owner, 'not_scanned') AS owner FROM s LEFT JOIN first_owner ON key = CASE WHEN folder_id = '' THEN province ELSE folder_id END")
 def owner_lookup(spark: Session, sf: str) -> Frame:
-    rows = sizes(spark, sf).where("ord < 1400")
-    owners = rows.where("folder_id <> '' and ord % 3 <> 0").select(F.col("folder_id").alias("key"), F.concat(F.lit("owner "), "folder_id").alias("owner"))
-    return survey.owner_lookup(rows, owners).select("province", "owner")
+    return survey.owner_lookup(sizes(spark, sf), owners(spark, sf)).select("province", "owner")
+
+
+@query(SIZES + f", {OWNED}, o AS (SELECT province, folder_id, coalesce(owner, 'not_scanned') AS owner FROM s LEFT JOIN first_owner ON key = CASE WHEN folder_id = '' THEN province ELSE folder_id END) SELECT province, folder_id, owner, CASE WHEN owner = 'not_scanned' THEN owner ELSE {KIND} END AS email_type, CASE WHEN folder_id = '' THEN 1 ELSE count(*) OVER (PARTITION BY folder_id) END AS n_sharing FROM o")
+def owner_report(spark: Session, sf: str) -> Frame:
+    return survey.owner_report(sizes(spark, sf), owners(spark, sf))
 
 
 @query(SIZES + "SELECT s.province, s.folder_id, o.bytes FROM s JOIN (SELECT folder_id, arg_min(bytes, ord) AS bytes FROM s WHERE folder_id <> '' GROUP BY folder_id) AS o USING (folder_id)")
@@ -201,3 +214,87 @@ def folder_ids(spark: Session, sf: str) -> Frame:
     """PR15, SC12."""
     url = F.concat(F.lit("https://x/drive/folders/Ab_"), F.col("page_id").cast("string"), F.lit("-z?usp=1"))
     return table(spark, sf, "pages").select("page_id", T.folder_id(url).alias("folder_id"))
+
+
+@query("SELECT n_name AS province, coalesce(n, 0) AS constituencies FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer WHERE c_nationkey % 3 <> 0 GROUP BY c_nationkey) ON n_nationkey = c_nationkey")
+def constituency_lookup(spark: Session, sf: str) -> Frame:
+    """Counts of a dimension that some lack."""
+    dim = table(spark, sf, "customer").where("c_nationkey % 3 <> 0").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(F.count("*").alias("constituencies"))
+    return survey.looked_up(table(spark, sf, "nation"), dim, "n_nationkey", "constituencies", 0).select(F.col("n_name").alias("province"), "constituencies")
+
+
+SUMMARY = f"""{OUT}, n AS (SELECT *, CASE WHEN region = '' THEN 'ไม่ระบุ' ELSE region END AS reg FROM s), regional AS (SELECT *, row_number() OVER (PARTITION BY reg, folder_id ORDER BY ord) AS r FROM n), overall AS (SELECT *, row_number() OVER (PARTITION BY folder_id ORDER BY bytes DESC, ord) AS r FROM s)
+  SELECT 'total' AS section, 'folders' AS name, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes FROM overall WHERE r = 1 OR folder_id = ''
+  UNION ALL SELECT 'region', reg, count(*), CAST(sum(bytes) FILTER (r = 1 OR folder_id = '') AS BIGINT) FROM regional GROUP BY reg
+  UNION ALL SELECT 'size', v.bucket, count(h.bucket), NULL FROM {BUCKETS} AS v(bucket) LEFT JOIN (SELECT {BUCKET} AS bucket FROM (SELECT bytes AS b FROM s)) AS h USING (bucket) GROUP BY v.bucket
+  UNION ALL SELECT 'status', CASE WHEN folder_id = '' THEN 'skipped' WHEN error <> '' THEN 'error' ELSE 'scanned' END, count(*), NULL FROM s GROUP BY ALL
+  UNION ALL SELECT 'anomaly', 'missing_link', count(*), NULL FROM s WHERE folder_id = '' HAVING count(*) > 0
+  UNION ALL SELECT 'anomaly', 'duplicate_folder_id', count(*), NULL FROM (SELECT count(*) OVER (PARTITION BY folder_id) AS c FROM s WHERE folder_id <> '') WHERE c > 1 HAVING count(*) > 0
+  UNION ALL SELECT 'anomaly', 'empty_folder', count(*), NULL FROM s WHERE folder_id <> '' AND files = 0 AND error = '' HAVING count(*) > 0
+  UNION ALL SELECT 'anomaly', 'size_outlier', count(*), NULL FROM far HAVING count(*) > 0"""
+
+
+@query(SIZES + f", {SUMMARY}")
+def survey_summary(spark: Session, sf: str) -> Frame:
+    return survey.survey_summary(spark, sizes(spark, sf))
+
+
+@query(SIZES + "SELECT CASE WHEN folder_id = '' THEN 'skipped' WHEN error <> '' THEN 'error' ELSE 'scanned' END AS status, count(*) AS n FROM s GROUP BY ALL")
+def survey_status(spark: Session, sf: str) -> Frame:
+    return survey.survey_status(sizes(spark, sf))
+
+
+FILES = LISTING + ", files AS (SELECT 'f' || (ord % 90) AS folder_id, ord, path, owner, size FROM f), links AS (SELECT 'p' || c_custkey AS province, c_custkey AS ord, 'f' || (c_custkey % 120) AS folder_id FROM customer) "
+
+
+def folder_files(spark: Session, sf: str) -> Frame:
+    return listing(spark, sf).selectExpr("concat('f', ord % 90) AS folder_id", "ord", "path", "owner", "size")
+
+
+def folder_links(spark: Session, sf: str) -> Frame:
+    return table(spark, sf, "customer").selectExpr("concat('p', c_custkey) AS province", "c_custkey AS ord", "concat('f', c_custkey % 120) AS folder_id")
+
+
+SIZE_TEXT = "CASE WHEN b <= 0 THEN '0 B' WHEN b < 1024 THEN b || ' B' WHEN b < 1048576 THEN printf('%.2f KB', b / 1024.0e0) WHEN b < 1073741824 THEN printf('%.2f MB', b / 1048576.0e0) ELSE printf('%.2f GB', b / 1073741824.0e0) END"
+
+
+@query(FILES + f"SELECT province, links.ord, folder_id, n AS files, b AS bytes, owner, {SIZE_TEXT} AS size_human FROM links JOIN (SELECT folder_id, count(*) AS n, CAST(sum(size) AS BIGINT) AS b, arg_min(owner, ord) AS owner FROM files GROUP BY folder_id) USING (folder_id)")
+def listing_report(spark: Session, sf: str) -> Frame:
+    """C7, ST2."""
+    found = survey.by_size(survey.listing_report(folder_files(spark, sf), folder_links(spark, sf)))
+    return found.select("province", "ord", "folder_id", "files", "bytes", "owner", "size_human")
+
+
+@query(FILES + "SELECT province, folder_id, files.ord, path, size FROM links JOIN files USING (folder_id)")
+def master_listing(spark: Session, sf: str) -> Frame:
+    return survey.master_listing(folder_files(spark, sf), folder_links(spark, sf)).select("province", "folder_id", "ord", "path", "size")
+
+
+@query(LISTING + ", d AS (SELECT province, CAST(len(string_split(path, '/')) - 1 AS BIGINT) AS depth, count(*) AS n, min(ord) AS seen FROM f GROUP BY ALL) SELECT province, files, pdfs, folders, max_depth, main_depth, depths FROM (SELECT province, count(*) AS files, count(*) FILTER (lower(path) LIKE '%.pdf') AS pdfs, count(DISTINCT regexp_replace(path, '/?[^/]*$', '')) AS folders, CAST(max(len(string_split(path, '/')) - 1) AS BIGINT) AS max_depth FROM f GROUP BY province) JOIN (SELECT province, depth AS main_depth FROM (SELECT *, row_number() OVER (PARTITION BY province ORDER BY n DESC, seen) AS r FROM d) WHERE r = 1) USING (province) JOIN (SELECT province, string_agg(depth::VARCHAR, ',' ORDER BY depth) AS depths FROM d GROUP BY province) USING (province)")
+def folder_survey(spark: Session, sf: str) -> Frame:
+    """C8."""
+    return survey.folder_survey(listing(spark, sf), "province", "ord").select("province", "files", "pdfs", "folders", "max_depth", "main_depth", "depths")
+
+
+@query(LISTING + "SELECT folder, pattern, n FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY n DESC, seen) AS r FROM (SELECT folder, CASE WHEN regexp_matches(name, '^[0-9]+$') THEN 'numeric' WHEN regexp_matches(name, '^[\\x00-\\x7F]+$') THEN 'ascii' ELSE 'thai-or-mixed' END AS pattern, count(*) AS n, min(ord) AS seen FROM (SELECT regexp_replace(path, '/?[^/]*$', '') AS folder, regexp_replace(regexp_extract(path, '([^/]*)$', 1), '(.)\\.[^.]+$', '\\1') AS name, ord FROM f) GROUP BY ALL)) WHERE r = 1")
+def dominant_patterns(spark: Session, sf: str) -> Frame:
+    return survey.dominant_patterns(listing(spark, sf), "ord")
+
+
+@query(LISTING + ", p AS (SELECT province, string_agg(depth::VARCHAR, ',' ORDER BY depth) AS pattern FROM (SELECT DISTINCT province, len(string_split(path, '/')) - 1 AS depth FROM f) GROUP BY province) SELECT pattern, province, count(*) OVER (PARTITION BY pattern) AS n FROM p")
+def depth_pattern_members(spark: Session, sf: str) -> Frame:
+    return survey.depth_pattern_members(listing(spark, sf), "province")
+
+
+@query(LISTING + "SELECT 'owner' AS attribute, owner AS value, count(*) AS n FROM f WHERE owner <> '' GROUP BY owner UNION ALL SELECT 'province', province, count(*) FROM f GROUP BY province")
+def distinct_values(spark: Session, sf: str) -> Frame:
+    rows = listing(spark, sf).select(F.nullif("owner", F.lit("")).alias("owner"), "province")
+    return survey.distinct_values(rows, ["owner", "province"])
+
+
+@query("SELECT n_nationkey AS page, row_no, trim('n ' || n_name) AS c0, CASE WHEN row_no >= 1 THEN 'r' || n_regionkey ELSE '' END AS c1, CASE WHEN row_no = 2 AND n_nationkey % 2 = 0 THEN 'x y' ELSE '' END AS c2 FROM nation, (VALUES (0), (1), (2)) AS v(row_no)")
+def page_table_concat(spark: Session, sf: str) -> Frame:
+    """C16, SO5: tables of one to three columns, with line breaks, blanks and missing values in their cells."""
+    cells = "CASE row_no WHEN 0 THEN array(concat(' n\\n', n_name)) WHEN 1 THEN array(concat('n ', n_name, ' '), concat('r', n_regionkey)) ELSE array(concat('n ', n_name), concat('r', n_regionkey), CASE WHEN n_nationkey % 2 = 0 THEN 'x\\ny' ELSE 'NaN' END) END"
+    rows = table(spark, sf, "nation").select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("row_no"))
+    return survey.page_tables(rows.selectExpr("n_nationkey AS page", "row_no", f"{cells} AS cells"))

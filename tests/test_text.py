@@ -26,7 +26,7 @@ def test_range_and_triage(spark):
 
 
 def test_bytes_and_buckets(spark):
-    assert one(spark, *(T.human_bytes(F.lit(v).cast("bigint")) for v in (0, 700, 2560, 123456789, 5 * 1024**5))) == ["0 B", "700 B", "2.50 KB", "117.74 MB", "5120.00 TB"]
+    assert one(spark, *(T.human_bytes(F.lit(v).cast("bigint")) for v in (0, 700, 2560, 123456789, 5 * 1024**5, -2048, -3, 19584))) == ["0 B", "700 B", "2.50 KB", "117.74 MB", "5120.00 TB", "-2.00 KB", "-3 B", "19.12 KB"]
     assert one(spark, *(T.size_bucket(F.lit(v).cast("bigint")) for v in (0, 1, 500 * 1024**2, 20 * 1024**3))) == ["0 B", "<500 MB", "<1 GB", "20 GB+"]
 
 
