@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from formloom.llm.shared import Scratch, cut, scratch_path
+from formloom.llm.shared import Scratch, cut
 
 CELL_BITS = 16  # leading bits that slot counts are first taken by; more where a bucket of so many is overfull
 BROADCAST_BITS = 16  # a directory of up to so many bits is broadcast, a deeper one is joined by shuffle
@@ -86,7 +86,8 @@ def build_index(docs: DataFrame, path: str, scratch: Scratch, bucket_capacity: i
     these are), keep_id (largest doc_id), group_size and, where links > 1, the text.
     """
     rows = docs.select("doc_id", "text", hash_key(F.col("text"), hash_bits).alias("key"))
-    keys = scratch.written(rows.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep_id")), "keys")
+    built = Scratch(docs.sparkSession)
+    keys = built.written(rows.groupBy("key").agg(F.count("*").alias("n"), F.max("doc_id").alias("keep_id")), "keys")
     slots, depth = directory(keys, bucket_capacity)
     slots = scratch.written(slots, "directory")
     names = ["bucket", "local_depth", "key", "chain", "links", "keep_id", "group_size", "text"]
@@ -105,6 +106,7 @@ def build_index(docs: DataFrame, path: str, scratch: Scratch, bucket_capacity: i
     links = links.withColumn("links", F.count("*").over(W.partitionBy("bucket", "key")))
     links = links.withColumn("text", F.when(F.col("links") > 1, F.col("text")))
     single.select(*names).unionByName(links.select(*names)).write.parquet(path)
+    built.drop()
     return docs.sparkSession.read.parquet(path), slots, depth
 
 
@@ -117,13 +119,12 @@ def exact_dedup(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     marked kept. A very long text is a row like any other. Other columns are ignored, whatever their names; an
     empty table gives no rows.
     """
-    return _found(docs, id_column, text_column, bucket_capacity, hash_bits).drop("key")
+    return _found(docs, id_column, text_column, bucket_capacity, hash_bits, Scratch(docs.sparkSession)).drop("key")
 
 
-def _found(docs: DataFrame, id_column: str, text_column: str, bucket_capacity: int, hash_bits: int) -> DataFrame:
-    scratch = Scratch(docs.sparkSession)
+def _found(docs: DataFrame, id_column: str, text_column: str, bucket_capacity: int, hash_bits: int, scratch: Scratch) -> DataFrame:
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    path = scratch_path(docs.sparkSession, "exact_index")
+    path = scratch.path("exact_index")
     index, slots, depth = build_index(rows, path, scratch, bucket_capacity, hash_bits)
     index = index.drop("local_depth")
     probes = rows.select("doc_id", hash_key(F.col("text"), hash_bits).alias("key"), sha256(F.col("text")).alias("text_sha256"))
@@ -147,8 +148,10 @@ def keep_distinct(docs: DataFrame) -> DataFrame:
     names may be any: a row goes through as one struct.
     """
     name = ["doc_id", "text_sha256"]
-    marked = _found(docs, "doc_id", "text", 100_000, 64).groupBy(*name, "kept").agg(F.count("*").alias("n"))
-    marked = Scratch(docs.sparkSession).written(marked, "marked", keep=True)
+    scratch = Scratch(docs.sparkSession)
+    marked = _found(docs, "doc_id", "text", 100_000, 64, scratch).groupBy(*name, "kept").agg(F.count("*").alias("n"))
+    marked = scratch.written(marked, "marked", keep=True)
+    scratch.drop()
     # ids may be null: a join on two columns that are never null
     own = [F.coalesce("doc_id", F.lit(0)).alias("own_id"), F.concat("text_sha256", F.when(F.col("doc_id").isNull(), F.lit("-")).otherwise(F.lit(""))).alias("own_text")]
     gone = marked.where("not kept").select(*own)

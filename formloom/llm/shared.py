@@ -48,12 +48,15 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.paths = spark, []
 
+    def path(self, name: str) -> str:
+        """A path that drop() removes."""
+        self.paths.append(scratch_path(self.spark, name))
+        return self.paths[-1]
+
     def written(self, df: DataFrame, name: str, keep: bool = False) -> DataFrame:
         """As written(); a table that is kept stays after drop()."""
-        path = scratch_path(self.spark, name)
+        path = scratch_path(self.spark, name) if keep else self.path(name)
         df.write.parquet(path)
-        if not keep:
-            self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

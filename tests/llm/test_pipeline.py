@@ -58,3 +58,22 @@ def test_pipeline(spark, tmp_path):
     whole = {i: len(packing.packed_ids(texts[i] or "", tokenizer_path())) // 4 + 1 for i in after}
     assert sum(r.length for r in docs.collect()) == sum(whole.values())
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == docs.count()
+
+
+def test_stages_on_odd_rows(spark, tmp_path):
+    """Null ids and texts, repeated rows, names that the operators use themselves; then empty tables."""
+    names = ["row", "score", "kept", "own_id", "text_sha256", "text_hash", "class_id", "length", "item_id", "node", "key"]
+    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (None, "x"), (None, "x"), (None, None), (2, ""), (3, None), (4, "long " * 30_000)]
+    docs = spark.createDataFrame([(*r, "s", "en", 1, *names) for r in rows], "doc_id long, text string, source string, lang string, n_chars int, " + ", ".join(f"{n} string" for n in names))
+    spark.createDataFrame([], "doc_id long, toxic int, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    distinct = [(1, "a b c d e f"), (None, "x"), (3, None), (4, rows[-1][1])]
+    for table, want in ((docs, (rows, distinct, distinct, distinct)), (docs.limit(0), ([],) * 4)):
+        for (_, stage), kept in zip(corpus_pipeline.STAGES[:-1], want, strict=True):
+            got = stage(spark, table, str(tmp_path))
+            assert got.columns == docs.columns
+            found = got.collect()
+            assert sorted(((r.doc_id, r.text or "", r.row) for r in found), key=str) == sorted(((i, t or "", "row") for i, t in kept), key=str)
+            table = spark.createDataFrame(found, docs.schema)
+        packed = corpus_pipeline.packing_stage(spark, table, str(tmp_path)).collect()
+        assert {r.doc_id for r in packed} == {i for i, _ in want[-1]}
