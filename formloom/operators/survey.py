@@ -121,6 +121,14 @@ def folder_totals(paths: DataFrame, key: str) -> DataFrame:
     return paths.groupBy(key).agg(F.count("*").alias("files"), F.count_if(F.lower("path").endswith(".pdf")).alias("pdfs"), F.count_distinct(F.regexp_replace("path", "/?[^/]*$", "")).alias("folders"), F.max(F.size(parts) - 1).cast("bigint").alias("max_depth"))
 
 
+def folder_counts(paths: DataFrame, key: str) -> DataFrame:
+    """SC15: every folder of the paths of a key, with its depth and its files: its own, and those anywhere below it."""
+    parts = F.split("path", "/")
+    up = F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda n: F.struct(n.alias("depth"), F.array_join(F.slice(parts, 1, n), "/").alias("folder"), (n == F.size(parts) - 1).alias("own")))
+    folders = paths.select(key, F.explode(up).alias("f")).select(key, "f.*")
+    return folders.groupBy(key, "folder", "depth").agg(F.count_if("own").alias("files"), F.count("*").alias("files_below"))
+
+
 def dominant_depth(paths: DataFrame, key: str, order: str) -> DataFrame:
     """The commonest depth; of equals the one seen first."""
     depth = paths.select(key, order, (F.size(F.split("path", "/")) - 1).cast("bigint").alias("depth"))

@@ -298,3 +298,9 @@ def page_table_concat(spark: Session, sf: str) -> Frame:
     cells = "CASE row_no WHEN 0 THEN array(concat(' n\\n', n_name)) WHEN 1 THEN array(concat('n ', n_name, ' '), concat('r', n_regionkey)) ELSE array(concat('n ', n_name), concat('r', n_regionkey), CASE WHEN n_nationkey % 2 = 0 THEN 'x\\ny' ELSE 'NaN' END) END"
     rows = table(spark, sf, "nation").select("*", F.explode(F.array(F.lit(0), F.lit(1), F.lit(2))).alias("row_no"))
     return survey.page_tables(rows.selectExpr("n_nationkey AS page", "row_no", f"{cells} AS cells"))
+
+
+@query(LISTING + ", u AS (SELECT province, string_split(path, '/') AS parts, unnest(range(len(string_split(path, '/')))) AS depth FROM f) SELECT province, array_to_string(parts[1:depth], '/') AS folder, CAST(depth AS INTEGER) AS depth, count(*) FILTER (depth = len(parts) - 1) AS files, count(*) AS files_below FROM u GROUP BY ALL")
+def folder_counts(spark: Session, sf: str) -> Frame:
+    """SC15."""
+    return survey.folder_counts(listing(spark, sf), "province")

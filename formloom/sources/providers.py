@@ -54,6 +54,89 @@ def rendered_pages(files: DataFrame, primary: Renderer, fallback: Renderer | Non
     return files.select("rel_path", "content").mapInArrow(run, PAGE)
 
 
+def page_counts(files: DataFrame, count: Callable[[bytes], int]) -> DataFrame:
+    """SC6: (rel_path, n_pages, error) of (rel_path, content), by a provider that counts without rendering."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                found = {"rel_path": row["rel_path"], "n_pages": None, "error": None}
+                try:
+                    found["n_pages"] = count(row["content"])
+                except Exception as e:  # noqa: BLE001  any failure of a provider becomes a row
+                    found["error"] = error_class(e)
+                out.append(found)
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("rel_path", pa.string()), ("n_pages", pa.int32()), ("error", pa.string())]))
+
+    return files.select("rel_path", "content").mapInArrow(run, "rel_path string, n_pages int, error string")
+
+
+def rendered_page(items: DataFrame, render: Callable[[bytes, int, int], tuple[int, int, int, bytes]], dpi: int = 200) -> DataFrame:
+    """SC5: one page of each of (rel_path, page_num, content) at a resolution; render gives height, width, channels and pixels."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                page = dict.fromkeys(PAGE_SCHEMA.names) | {"rel_path": row["rel_path"], "page_num": row["page_num"]}
+                try:
+                    page |= dict(zip(("height", "width", "channels", "pixels"), render(row["content"], row["page_num"], dpi), strict=True))
+                except Exception as e:  # noqa: BLE001  any failure of a provider becomes a row
+                    page["error"] = error_class(e)
+                yield pa.RecordBatch.from_pylist([page], PAGE_SCHEMA)
+
+    return items.select("rel_path", F.col("page_num").cast("int").alias("page_num"), "content").mapInArrow(run, PAGE)
+
+
+def decoded_images(files: DataFrame, decode: Callable[[bytes], tuple[int, int, int, bytes]]) -> DataFrame:
+    """SC7: image files (rel_path, content) as pages of one each."""
+    return rendered_page(files.withColumn("page_num", F.lit(0)), lambda content, page, dpi: decode(content))
+
+
+ROWS = pa.schema([("rel_path", pa.string()), ("page", pa.int32()), ("row_no", pa.int32()), ("cells", pa.list_(pa.string())), ("error", pa.string())])
+
+
+def table_rows(files: DataFrame, extract: Callable[[bytes], Iterator[tuple[int, list[list[str]]]]]) -> DataFrame:
+    """SC16, C16: the rows of the tables of each file (rel_path, content): rel_path, page, row_no, cells, error.
+
+    extract yields a page and the rows of one of its tables at a time; a page's tables follow each other. A failure ends
+    its file with an error row. survey.page_tables makes columns of the cells.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                place = {"rel_path": row["rel_path"]}
+                seen: dict[int, int] = {}
+                try:
+                    for page, rows in extract(row["content"]):
+                        at = seen.get(page, 0)
+                        seen[page] = at + len(rows)
+                        yield pa.RecordBatch.from_pylist([place | {"page": page, "row_no": at + k, "cells": cells, "error": None} for k, cells in enumerate(rows)], ROWS)
+                except Exception as e:  # noqa: BLE001  any failure of a provider becomes a row
+                    yield pa.RecordBatch.from_pylist([place | {"page": None, "row_no": None, "cells": None, "error": error_class(e)}], ROWS)
+
+    return files.select("rel_path", "content").mapInArrow(run, "rel_path string, page int, row_no int, cells array<string>, error string")
+
+
+def asked(items: DataFrame, key: str, call: Callable[[str], str], tries: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """SC14: (key, answer, error) of calls to a remote folder's tool, such as its size or its owner; answers are text, as JSON."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for k in batch.column(0).to_pylist():
+                found = {"key": k, "answer": None, "error": None}
+                try:
+                    found["answer"] = with_retry(lambda k=k: call(k), tries, sleep=sleep)
+                except Exception as e:  # noqa: BLE001  any failure of a provider becomes a row
+                    found["error"] = f"{type(e).__name__}: {e}"[:500]
+                out.append(found)
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("key", pa.string()), ("answer", pa.string()), ("error", pa.string())]))
+
+    return items.select(F.col(key).cast("string").alias("key")).distinct().mapInArrow(run, "key string, answer string, error string")
+
+
 def same_width(pages: DataFrame) -> DataFrame:
     """SC4: pages padded on the right with white to the widest of their file."""
     widest = pages.groupBy("rel_path").agg(F.max("width").alias("widest"))

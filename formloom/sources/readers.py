@@ -36,7 +36,7 @@ def in_path_order(rows: DataFrame, path: str = "rel_path") -> DataFrame:
 
 def markdown(spark: SparkSession, root: str) -> DataFrame:
     """SC8: (path, text) of the Markdown files of a tree."""
-    rows = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(root)
+    rows = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.md").text(root, wholetext=True)
     return rows.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
