@@ -152,7 +152,7 @@ def merged(starts: list[int], k: int) -> Iterator[tuple[int, int]]:
 
 
 def item_blocks(benchmark: DataFrame, id_column: str, text_column: str, block_chars: int = BLOCK_CHARS) -> Iterator[list[tuple[int, str]]]:
-    """The items, in blocks of a bounded number of characters: only one is on the driver at a time."""
+    """The items, in blocks of a bounded number of characters. A plan that uses a block keeps it: the benchmark is a stated set that the driver holds."""
     block, size = [], 0
     rows = benchmark.select(F.col(id_column).cast("long").alias("item_id"), F.col(text_column).alias("text")).where("text is not null").distinct()
     for row in rows.toLocalIterator():
