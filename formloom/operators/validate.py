@@ -103,10 +103,22 @@ def triage_counts(rows: DataFrame) -> DataFrame:
 
 
 def validate_forms(forms: DataFrame, cells: DataFrame, fields: DataFrame, key: str) -> DataFrame:
-    """All findings of the forms, as (key, chk, detail); Q20: they join the review queue but no count."""
-    totals = table_total_check(cells, key).select(key, "chk", F.concat("rows_sum", F.lit(" != "), "total").alias("detail"))
-    valid = table_vs_valid(cells, forms, key).select(key, "chk", F.concat("total", F.lit(" != "), "valid_ballots").alias("detail"))
-    return ballot_identities(forms, [key]).unionByName(totals).unionByName(valid).unionByName(completeness(fields, key))
+    """All findings of the forms, as (key, chk, detail): of the ballots, the table, then completeness.
+
+    Cells and fields are summed once and joined to the forms, so that all rules are told of one row; a table or fields without
+    a form are told of too. Q20: findings join the review queue but no count.
+    """
+    totals = table_totals(cells, key).where("parsed and n_rows >= 2").select(key, "rows_sum", "total")
+    counted = fields.where("value is not null").groupBy(key).agg(F.count("*").alias("n_fields"))
+    wide = forms.select(key, *FIELDS).join(totals, key, "full").join(counted, key, "full")
+    total, n = F.col("total"), F.col("n_fields")
+    rules = [
+        *ballot_findings(),
+        finding("table_column_sum", F.col("rows_sum") != total, F.concat("rows_sum", F.lit(" != "), "total")),
+        finding("table_total_vs_valid_ballots", total != F.col("valid_ballots"), F.concat("total", F.lit(" != "), "valid_ballots")),
+        finding("incomplete_fields", (n > 0) & (n < len(FIELDS)), F.concat(F.lit("missing "), len(FIELDS) - n)),
+    ]
+    return exploded(wide, [key], rules)
 
 
 # Reasons of a document for manual review, with the flag that raises each.

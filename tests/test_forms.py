@@ -34,6 +34,15 @@ def test_completeness(spark):
     assert [tuple(r) for r in validate.completeness(rows, "k").collect()] == [("six", "incomplete_fields", "missing 2")]
 
 
+def test_all_findings_in_order(spark):
+    rows = forms(spark, GOOD, {4: 512, 5: 470, 6: 25, 7: 9, 2: 500})
+    table = cells(spark, **{"1": [200, 200, 401], "7": [1, 2, 4]}).select(F.col("k").cast("long").alias("k"), "ord", "value")
+    fields = rows.unpivot(["k"], list(F_), "field", "value")
+    got = [(r.k, r.chk, r.detail) for r in validate.validate_forms(rows, table, fields, "k").coalesce(1).orderBy("k").collect()]
+    one = [("ballot_breakdown_sum", "504 != 512"), ("voters_vs_ballots", "500 != 512"), ("table_column_sum", "400 != 401"), ("table_total_vs_valid_ballots", "401 != 470"), ("incomplete_fields", "missing 3")]
+    assert got == [(1, *f) for f in one] + [(7, "table_column_sum", "3 != 4")]
+
+
 def test_vision_stats(spark):
     rows = [(1, "260", "8", "4", "272", "255"), (2, "260", "8", "4", "301", "255"), (3, "140", "2", "1", "143", "520"), (4, "90", None, None, None, None), (5, " 333", "11", "๖", "350", "320"), (6, "7x", "1", "1", "2", "3")]
     df = spark.createDataFrame(rows, "k int, valid_ballots string, invalid_ballots string, no_vote_ballots string, ballots_used string, total_candidate_votes string")

@@ -162,4 +162,5 @@ def test_kernels():
     mask[1, 1], mask[2, 2], mask[4, 5:7] = 1, 1, 1
     assert vision.component_boxes(mask) == [(1, 1, 2, 2, 2), (5, 4, 2, 1, 2)]
     assert vision.is_empty(np.full((20, 20), 255, np.uint8)) and vision.for_ocr(np.zeros((10, 10), np.uint8)).min() == 255
+    assert vision.heat_map(np.array([[-1.0, 0.5, 2.0]])).tolist() == [[0, 128, 255]] and vision.heat_map(np.array([[0.25]]), True).tolist() == [[191]]
     assert {m: vision.prepared(image, m).shape for m in ("raw", "eq", "blur", "otsu")}["eq"] == (40, 50)

@@ -70,6 +70,9 @@ def test_stream(spark, tmp_path):
         stream.upsert_latest(stream.manifest_stream(spark, src, 1), out, mark, ["rel_path", "fingerprint"], "seq").awaitTermination()
     assert {(r.rel_path, r.seq) for r in stream.latest_version(spark, out).collect()} == {("a", 4), ("b", 3)}
     assert stream.latest_version(spark, str(tmp_path / "none")).count() == 0
+    rows = stream.first_seen(stream.manifest_stream(spark, src), ["rel_path"])
+    rows.writeStream.format("memory").queryName("first_seen").trigger(availableNow=True).start().awaitTermination()
+    assert {r.rel_path for r in spark.table("first_seen").collect()} == {"a", "b"} and spark.table("first_seen").count() == 2
     done = []
     query = stream.resume(stream.manifest_stream(spark, src, 1), str(tmp_path / "done"), str(tmp_path / "mark2"), ["rel_path"], lambda b: (done.append(b.count()), b.withColumn("status", F.lit("ok")))[1])
     query.awaitTermination()
