@@ -10,7 +10,7 @@ from formloom.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, 4, "4g")
+    session = local_session(4, 2, "4g")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
