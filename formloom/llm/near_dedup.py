@@ -23,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -168,7 +169,7 @@ def signed(docs: DataFrame) -> DataFrame:
             low = 0
             while low < len(texts):  # some MB of text at a time
                 high, size = low, 0
-                while high < len(texts) and size < 2_000_000:
+                while high < len(texts) and size < 1_000_000:
                     size += len(texts[high])
                     high += 1
                 v, o, w = bag(*shingles(texts[low:high]))
@@ -211,10 +212,13 @@ def weighted_shingles(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 200):
-                part = batch.slice(low, 200)
+            sizes, low = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(), 0
+            while low < batch.num_rows:  # some hundred kB of text at a time: the arrays of a text take a multiple of it
+                high = low + max(1, int(np.searchsorted(sizes[low:].cumsum(), 500_000)))
+                part = batch.slice(low, high - low)
                 v, o, w = bag(*shingles(part.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(o)), pa.array(v.view(np.int64)), pa.array(w.astype(np.int64))], ["node", "shingle", "weight"])
+                low = high
 
     return texts.select("node", "text").mapInArrow(run, "node string, shingle long, weight long")
 
