@@ -118,7 +118,8 @@ def license_scan(docs: DataFrame, templates: dict[str, str] | None = None, id_co
     """
     spark = docs.sparkSession
     known = template_table(spark, templates)
-    mins = F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), lambda j: F.get(F.filter("hashes", lambda h: F.xxhash64(h, j) == F.get("signature", j)), F.lit(0)))
+    least = lambda j: F.array_min(F.transform("hashes", lambda h: F.struct(F.xxhash64(h, j).alias("hash"), h.alias("h"))))["h"]
+    mins = F.transform(F.sequence(F.lit(0), F.lit(BANDS * ROWS - 1)), least)
     known = known.withColumn("mins", mins)
     keys = known.select("*", F.explode(F.array_distinct("mins")).alias("key"))
     reach = F.col("size") + F.col("step")  # a window that holds the key lies within so many places of it, and so does its margin
