@@ -223,9 +223,32 @@ def listing_report(files: DataFrame, links: DataFrame) -> DataFrame:
     return fanned_out(found, links.select("province", "ord", "folder_id")).withColumn("size_human", human_bytes(F.col("bytes")))
 
 
+#: Links, and files, of one folder that meet in one cell of the master listing, about.
+CELL = 256
+
+
 def master_listing(files: DataFrame, links: DataFrame) -> DataFrame:
-    """SK8: every file of a folder once for each province that links to it."""
-    return links.select("province", "folder_id").join(files, "folder_id")
+    """SK8: every file of a folder once for each province that links to it.
+
+    Folders are few and the result grows with a folder's links times its files, so it isn't dealt by folder. The links and
+    the files of a folder are cut into runs of about CELL by a hash; a run of each is a cell, and cells are dealt out, so
+    that a row is copied once for each run of the other side. Only folders beyond CELL are listed with their runs, by
+    counts that read the same rows first; the others are one cell. The exchange also keeps what is computed of a file (a
+    length, a path) out of the join, which would do it again for each province. The number of partitions is given, as
+    bytes say little of the rows that a cell makes. The list of runs is rebalanced so that both sides of its join are plain exchanges.
+    """
+    runs = lambda rows, n: rows.groupBy("folder_id").agg(F.ceil(F.count("*") / CELL).alias(n))
+    cut = runs(links, "link_runs").join(runs(files, "file_runs"), "folder_id").where("link_runs > 1 or file_runs > 1").hint("rebalance")
+    partitions = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def dealt(rows: DataFrame, keep: list[str], own: str, other: str) -> DataFrame:
+        hashed = rows.select(*keep, F.xxhash64(*rows.columns).alias("cut_by")).join(cut, "folder_id", "left")
+        run = F.pmod("cut_by", F.coalesce(f"{own}_runs", F.lit(1))).alias(f"{own}_run")
+        copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(f"{other}_runs", F.lit(1)) - 1)).alias(f"{other}_run")
+        return hashed.select(*keep, run, copies).repartition(partitions, "folder_id", "link_run", "file_run")
+
+    cells = dealt(links, ["province", "folder_id"], "link", "file").hint("merge")
+    return cells.join(dealt(files, files.columns, "file", "link"), ["folder_id", "link_run", "file_run"]).drop("link_run", "file_run")
 
 
 def folder_survey(paths: DataFrame, key: str, order: str) -> DataFrame:

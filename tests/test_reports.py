@@ -40,3 +40,35 @@ def test_templates_in_blocks(spark):
 def test_largest_first(spark):
     rows = spark.createDataFrame([("a", 1, 5), ("b", 2, 9), ("c", 3, 5)], "province string, ord long, bytes long")
     assert [r.province for r in survey.by_size(rows).collect()] == ["b", "a", "c"]
+
+
+def test_master_listing_cells(spark, monkeypatch):
+    """Folders that are large on either side, on both and on none; copies, folders of one side only, missing ones."""
+    monkeypatch.setattr(survey, "CELL", 4)
+    links = [(f"p{k}", k, f) for f, n in (("both", 30), ("linked", 50), ("filed", 1), ("small", 2), ("nowhere", 9), ("", 2), (None, 9)) for k in range(n)] + [("p0", 0, "both")] * 3
+    files = [(f, k, None if k % 7 == 3 else f"{f}/{k}", k * 10) for f, n in (("both", 30), ("linked", 1), ("filed", 50), ("small", 3), ("unlinked", 9), ("", 2), (None, 9)) for k in range(n)] + [("both", 5, "both/5", 50)] * 3
+    want = [(f, p, *rest) for p, _, f in links for g, *rest in files if f is not None and f == g]
+    got = survey.master_listing(spark.createDataFrame(files, "folder_id string, ord long, path string, size long"), spark.createDataFrame(links, "province string, ord long, folder_id string"))
+    assert got.columns == ["folder_id", "province", "ord", "path", "size"]
+    key = lambda r: tuple(map(str, r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+
+
+def test_master_listing_is_dealt(spark):
+    """One folder's rows are made in all partitions, about evenly."""
+    files = spark.range(2000, numPartitions=1).selectExpr("concat('f', id div 2000) AS folder_id", "id AS ord", "concat('x', id) AS path", "id AS size")
+    links = spark.range(2000, numPartitions=1).selectExpr("concat('p', id) AS province", "id AS ord", "concat('f', id div 2000) AS folder_id")
+    made = [r["count"] for r in survey.master_listing(files, links).groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(made) == 4_000_000 and len(made) == 2 and min(made) > 400_000
+
+
+def test_master_listing_computes_a_file_once(spark):
+    """Between what is computed of a file and the join that repeats it lies an exchange."""
+    files = spark.range(40).selectExpr("concat('f', id % 2) AS folder_id", "id AS ord", "concat('x', id) AS path", "length(repeat('x', cast(id AS int))) AS size")
+    links = spark.range(40).selectExpr("concat('p', id) AS province", "id AS ord", "concat('f', id % 3) AS folder_id")
+    plan = survey.master_listing(files, links)._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    top = next(k for k, line in enumerate(plan) if "Join [" in line)
+    at = next(k for k, line in enumerate(plan) if "length(" in line)
+    above = [line for k, line in enumerate(plan[top:at], top) if depth(line) < min(map(depth, plan[k + 1 : at + 1]))]
+    assert any("Exchange hashpartitioning" in line for line in above)
